@@ -1,8 +1,9 @@
 """Frequent itemsets: basket models, level-wise candidates, and two-phase (SON) mining.
 
-Baskets stay in long form, one row per (basket, item). A frequent itemset carries the list of its
-baskets as rows as well, so the next level is counted by joining the occurrences of a candidate's
-two parents: work follows the candidates, and no basket is ever expanded into all its subsets.
+Baskets stay in long form, one row per (basket, item), and so do the occurrences of frequent
+itemsets, one row per (itemset, basket). The next level joins two occurrences in one basket, which
+lists only itemsets that really occur. Baskets with very many items are not expanded that way: they
+are asked for the Apriori candidates instead, by joining the occurrences of a candidate's parents.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators.pairing import BLOCK, HOT, block_pairs, sharing_pairs
+from affinia.operators.pairing import HOT, block_pairs, sharing_pairs
 from affinia.plans.staging import facts, has_rows, stage
 
 
@@ -96,34 +97,7 @@ def count_candidates(
     ``candidates`` (size, items) must contain the subsets of its members, as phase one's do.
     """
     keyed = rows.withColumn("need", F.lit(support).cast("long"))
-    largest = candidates.agg(F.max("size")).first()[0] or 0
-    single = _singletons(keyed, []).join(
-        candidates.where("size = 1").select("items"), "items", "left_semi"
-    )
-    found = [stage(single, "level")]
-    occurrences = None
-    for size in range(2, largest + 1):
-        level = candidates.where(F.col("size") == size).select("items")
-        if size == 2:
-            frequent = keyed.join(
-                found[0].select(F.col("items")[0].alias("item")), "item", "left_semi"
-            )
-            pairs = level.select("items", F.col("items")[0].alias("item1"),
-                                 F.col("items")[1].alias("item2"))
-            occurrences = _pair_occurrences(frequent, pairs, [], hot)
-        else:
-            but_last = F.slice("items", 1, size - 1)
-            but_second_last = F.concat(
-                F.slice("items", 1, size - 2), F.slice("items", size, 1)
-            )
-            parents = level.select("items", but_last.alias("probe"), but_second_last.alias("other"))
-            occurrences = _joint_occurrences(occurrences, parents, [])
-        counted, occurrences = _count(occurrences, [], F.lit(support).cast("long"))
-        if not has_rows(counted):
-            break
-        found.append(counted)
-    levels = [f.select(F.size("items").alias("size"), "items", "freq") for f in found]
-    return reduce(DataFrame.union, levels).orderBy("size", "items")
+    return _levels(keyed, [], None, hot, candidates).orderBy("size", "items")
 
 
 def apriori_candidates(frequent: DataFrame, size: int, by: list[str] = ()) -> DataFrame:
@@ -157,42 +131,63 @@ def apriori_candidates(frequent: DataFrame, size: int, by: list[str] = ()) -> Da
         F.when(rarer_first, F.col("items1")).otherwise(F.col("items2")).alias("probe"),
         F.when(rarer_first, F.col("items2")).otherwise(F.col("items1")).alias("other"),
     )
-    subsets = F.explode(F.transform("items", lambda x: F.array_remove("items", x)))
+    subsets = F.array_except(
+        F.transform("items", lambda x: F.array_remove("items", x)), F.array("probe", "other")
+    )
     kept = (
-        candidates.withColumn("_subset", subsets)
+        candidates.withColumn("_subset", F.explode(subsets))
         .join(
             frequent.select(*by, F.col("items").alias("_subset")), [*by, "_subset"], "left_semi"
         )
         .groupBy(*by, "items", "probe", "other")
         .agg(F.count("*").alias("_found"))
-        .where(F.col("_found") == size)
+        .where(F.col("_found") == size - 2)
     )
     return kept.drop("_found")
 
 
-def _levels(rows: DataFrame, by: list[str], max_size: int | None, hot: int) -> DataFrame:
-    """Level-wise search over (by…, basket, item, need) rows."""
+def _levels(
+    rows: DataFrame, by: list[str], max_size: int | None, hot: int,
+    candidates: DataFrame | None = None,
+) -> DataFrame:
+    """Level-wise search over (by…, basket, item, need) rows, among ``candidates`` if given."""
+    itemset, basket = [*by, "items"], [*by, "basket"]
+
+    def allowed(df: DataFrame, size: int) -> DataFrame:
+        if candidates is None:
+            return df
+        of_size = candidates.where(F.col("size") == size).select("items")
+        return df.join(of_size, "items", "left_semi")
+
     rows = stage(rows.select(*by, "basket", "item", "need"), "baskets")
-    found = [stage(_singletons(rows, by), "level")]
+    found = [stage(allowed(_singletons(rows, by), 1), "level")]
+    single = found[0].select(*by, F.col("items")[0].alias("item"))
+    rows = rows.join(single, [*by, "item"], "left_semi")
+    large = rows.groupBy(*basket).agg(F.count("*").alias("_n")).where(F.col("_n") > hot)
+    large = stage(large.select(*basket), "large")
+    any_large = has_rows(large)
+
     occurrences, size = None, 2
     while max_size is None or size <= max_size:
         if size == 2:
-            item = found[0].select(*by, F.col("items")[0].alias("item"))
-            rows = rows.join(item, [*by, "item"], "left_semi")
             pairs = sharing_pairs(rows, "item", "basket", by, hot).select(
                 *by, F.array("item1", "item2").alias("items"), F.col("shared").alias("freq"), "need"
             )
-            level = stage(pairs, "level")
+            level = stage(allowed(pairs, 2), "level")
         else:
             if size == 3:
-                pairs = found[-1].select(*by, "items", F.col("items")[0].alias("item1"),
-                                         F.col("items")[1].alias("item2"))
-                occurrences = _pair_occurrences(rows, pairs, by, hot)
-            candidates = stage(apriori_candidates(found[-1], size, by), "candidates")
-            if not has_rows(candidates):
-                break
-            joint = _joint_occurrences(occurrences, candidates, by)
-            level, occurrences = _count(joint, by, F.col("need"))
+                occurrences = _pair_occurrences(rows, found[-1], by, large if any_large else None)
+            ordinary = occurrences
+            if any_large:
+                ordinary = occurrences.join(large, basket, "left_anti")
+            joint = allowed(_extended(ordinary, by, size), size)
+            if any_large:
+                asked = allowed(stage(apriori_candidates(found[-1], size, by), "candidates"), size)
+                in_large = occurrences.join(large, basket, "left_semi")
+                joint = joint.union(_joint_occurrences(in_large, asked, by))
+            joint = stage(joint, "occurrences")
+            level = stage(_frequent(joint.groupBy(*itemset, "need")), "level")
+            occurrences = joint.join(level.select(*itemset), itemset, "left_semi")
         if not has_rows(level):
             break
         found.append(level)
@@ -201,35 +196,56 @@ def _levels(rows: DataFrame, by: list[str], max_size: int | None, hot: int) -> D
     return reduce(DataFrame.union, levels)
 
 
+def _frequent(groups) -> DataFrame:
+    return groups.agg(F.count("*").alias("freq")).where("freq >= need")
+
+
 def _singletons(rows: DataFrame, by: list[str]) -> DataFrame:
-    return (
-        rows.groupBy(*by, "item", "need")
-        .agg(F.count("*").alias("freq"))
-        .where("freq >= need")
-        .select(*by, F.array("item").alias("items"), "freq", "need")
-    )
+    counted = _frequent(rows.groupBy(*by, "item", "need"))
+    return counted.select(*by, F.array("item").alias("items"), "freq", "need")
 
 
-def _pair_occurrences(rows: DataFrame, pairs: DataFrame, by: list[str], hot: int) -> DataFrame:
+def _pair_occurrences(
+    rows: DataFrame, pairs: DataFrame, by: list[str], large: DataFrame | None
+) -> DataFrame:
     """(by…, items, need, basket): the baskets that hold both members of each pair.
 
-    Ordinary baskets list their own pairs; baskets of more than ``hot`` items are asked for the
-    given pairs instead.
+    Ordinary baskets list their own pairs; large baskets are asked for the given pairs instead.
     """
     basket = [*by, "basket"]
-    large = rows.groupBy(*basket).agg(F.count("*").alias("_n")).where(F.col("_n") > hot)
-    large = stage(large.select(*basket), "large")
-    listed = block_pairs(rows.join(large, basket, "left_anti"), [*basket, "need"], "item").join(
-        pairs, [*by, "item1", "item2"]
+    out = [*by, "items", "need", "basket"]
+    pairs = pairs.select(
+        *by, "items", F.col("items")[0].alias("item1"), F.col("items")[1].alias("item2")
+    )
+    ordinary = rows if large is None else rows.join(large, basket, "left_anti")
+    second = ordinary.select(*basket, F.col("item").alias("item2"))
+    listed = (
+        ordinary.withColumnRenamed("item", "item1")
+        .join(second, basket)
+        .where("item1 < item2")
+        .join(pairs, [*by, "item1", "item2"])
+        .select(*out)
     )
-    found = listed.select(*by, "items", "need", "basket")
-    if not has_rows(large):
-        return found
+    if large is None:
+        return listed
     big = rows.join(large, basket, "left_semi")
     asked = pairs.join(big.withColumnRenamed("item", "item1"), [*by, "item1"]).join(
         big.select(*basket, F.col("item").alias("item2")), [*basket, "item2"], "left_semi"
     )
-    return found.union(asked.select(*by, "items", "need", "basket"))
+    return listed.union(asked.select(*out))
+
+
+def _extended(occurrences: DataFrame, by: list[str], size: int) -> DataFrame:
+    """Itemsets of ``size`` that occur in a basket together with two of their frequent subsets."""
+    key = [*by, "basket", "_prefix"]
+    last = F.element_at("items", -1)
+    sets = occurrences.withColumn("_prefix", F.slice("items", 1, size - 2))
+    longer = sets.select(*key, last.alias("_next"))
+    return (
+        sets.join(longer, key)
+        .where(last < F.col("_next"))
+        .select(*by, F.concat("items", F.array("_next")).alias("items"), "need", "basket")
+    )
 
 
 def _joint_occurrences(occurrences: DataFrame, candidates: DataFrame, by: list[str]) -> DataFrame:
@@ -243,18 +259,6 @@ def _joint_occurrences(occurrences: DataFrame, candidates: DataFrame, by: list[s
     )
 
 
-def _count(occurrences: DataFrame, by: list[str], need: Column) -> tuple[DataFrame, DataFrame]:
-    """The itemsets with enough occurrences, and those occurrences."""
-    occurrences = stage(occurrences, "occurrences")
-    level = (
-        occurrences.groupBy(*by, "items", "need")
-        .agg(F.count("*").alias("freq"))
-        .where(F.col("freq") >= need)
-    )
-    level = stage(level, "level")
-    return level, occurrences.join(level.select(*by, "items"), [*by, "items"], "left_semi")
-
-
 def _no_itemsets(rows: DataFrame) -> DataFrame:
     empty = rows.where("false")
     return empty.select(F.lit(0).alias("size"), F.array("item").alias("items"),
