@@ -37,7 +37,7 @@ def gn_removal_sequence(
     of = edges.join(labels.withColumnRenamed("node", "u"), "u").join(sizes, "component")
     one_task = F.col("n_nodes") * F.col("n_edges") * F.col("n_edges") <= task_steps
 
-    def remove_all(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def remove_all(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         graph = graph_of(zip(pdf["u"], pdf["v"]))
         part_of = dict.fromkeys(graph, 0)
         out = []

@@ -85,7 +85,7 @@ def shortest_path_counts(
     """(root, node, dist, sigma): distance and number of shortest paths for connected pairs."""
     of_small, of_large = _by_size(edges, small, labels)
 
-    def search(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         graph = graph_of(zip(pdf["u"], pdf["v"]))
         out = []
         for root in _roots(graph, pdf):
@@ -110,7 +110,7 @@ def edge_betweenness(
     """(u, v, betweenness) of every edge, exact, highest first."""
     of_small, of_large = _by_size(edges, small, labels)
 
-    def search(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         graph = graph_of(zip(pdf["u"], pdf["v"]))
         found = pd.DataFrame(
             [flow for root in _roots(graph, pdf) for flow in flows(graph, root)],
