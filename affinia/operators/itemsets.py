@@ -170,7 +170,7 @@ def _levels(
     occurrences, size = None, 2
     while max_size is None or size <= max_size:
         if size == 2:
-            pairs = sharing_pairs(rows, "item", "basket", by, hot).select(
+            pairs = sharing_pairs(rows, "item", "basket", by, hot, any_large).select(
                 *by, F.array("item1", "item2").alias("items"), F.col("shared").alias("freq"), "need"
             )
             level = stage(allowed(pairs, 2), "level")

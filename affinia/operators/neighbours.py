@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from affinia.plans.staging import facts, has_rows, stage
 
-PAIR_ROWS = 2_000_000
+PAIR_ROWS = 1_000_000
 HOT = 20_000
 HOT_ENTITY = 1_000_000
 MAX_BLOCKS = 1000
@@ -64,7 +64,8 @@ class Neighbourhood:
         self.hot_features = raters.where(F.col("raters") > hot).select("f")
         self.any_hot_feature = known["most"] > hot
         worthwhile = int(known["pairs"] / max(known["rows"], 1.0))
-        wished = isqrt(int(known["pairs"]) // pair_rows) + 1
+        busy = isqrt(4 * self.spark.sparkContext.defaultParallelism)
+        wished = max(busy, isqrt(int(known["pairs"]) // pair_rows) + 1)
         self.blocks = max(1, min(wished, worthwhile, MAX_BLOCKS))
 
     def pairs(self) -> DataFrame:

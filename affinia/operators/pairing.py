@@ -26,13 +26,20 @@ BLOCK = 2000
 
 
 def block_pairs(
-    rows: DataFrame, keys: list[str], entity: str, carry: list[str] = (), block: int = BLOCK
+    rows: DataFrame, keys: list[str], entity: str, carry: list[str] = (), block: int = BLOCK,
+    largest: int | None = None,
 ) -> DataFrame:
     """The (e1 < e2) pairs of entities that meet in a group given by ``keys``.
 
     Carried columns come out suffixed 1 and 2. Groups above ``block`` members are spread over
-    (blocks² / 2) join keys. For callers that have already kept hot groups out or small.
+    (blocks² / 2) join keys. For callers that have already kept hot groups out or small;
+    ``largest`` is a known bound on the size of a group.
     """
+    one, two = f"{entity}1", f"{entity}2"
+    if largest is not None and largest <= block:
+        first = rows.select(*keys, *[F.col(c).alias(f"{c}1") for c in [entity, *carry]])
+        second = rows.select(*keys, *[F.col(c).alias(f"{c}2") for c in [entity, *carry]])
+        return first.join(second, keys).where(F.col(one) < F.col(two))
     large = (
         rows.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
@@ -53,30 +60,32 @@ def block_pairs(
     left = side(1, F.col("_block"), F.explode(F.sequence("_block", "_last")))
     right = side(2, F.explode(F.sequence(F.lit(0), F.col("_block"))), F.col("_block"))
     joined = left.join(right, [*keys, "_low", "_high"]).where(
-        (F.col("_low") < F.col("_high")) | (F.col(f"{entity}1") < F.col(f"{entity}2"))
+        (F.col("_low") < F.col("_high")) | (F.col(one) < F.col(two))
     )
-    ordered = F.col(f"{entity}1") < F.col(f"{entity}2")
+    ordered = F.col(one) < F.col(two)
     out = []
     for c in [entity, *carry]:
-        one, two = F.col(f"{c}1"), F.col(f"{c}2")
-        out.append(F.when(ordered, one).otherwise(two).alias(f"{c}1"))
-        out.append(F.when(ordered, two).otherwise(one).alias(f"{c}2"))
+        out.append(F.when(ordered, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(f"{c}1"))
+        out.append(F.when(ordered, F.col(f"{c}2")).otherwise(F.col(f"{c}1")).alias(f"{c}2"))
     return joined.select(*keys, *out)
 
 
 def sharing_pairs(
-    rows: DataFrame, entity: str, feature: str, by: list[str] = (), hot: int = HOT
+    rows: DataFrame, entity: str, feature: str, by: list[str] = (), hot: int = HOT,
+    any_hot: bool | None = None,
 ) -> DataFrame:
     """Entity pairs with at least ``need`` common features.
 
     ``rows`` holds distinct (by…, entity, feature) and a column ``need``, constant within ``by``.
-    Returns (by…, entity1, entity2, shared, need) with the exact count in ``shared``.
+    Returns (by…, entity1, entity2, shared, need) with the exact count in ``shared``. ``any_hot``
+    says whether there are hot features, where the caller knows.
     """
     by = list(by)
     one, two = f"{entity}1", f"{entity}2"
     holders = rows.groupBy(*by, feature).agg(F.count("*").alias("_holders"))
     hot_features = holders.where(F.col("_holders") > hot)
-    any_hot = has_rows(hot_features)
+    if any_hot is None:
+        any_hot = has_rows(hot_features)
 
     kept = rows
     if any_hot:
@@ -84,7 +93,9 @@ def sharing_pairs(
         kept = rows.join(withheld.select(*by, entity, feature), [*by, entity, feature], "left_anti")
 
     met = (
-        block_pairs(kept, [*by, feature, "need"], entity)
+        block_pairs(
+            kept, [*by, feature, "need"], entity, largest=None if any_hot else hot
+        )
         .groupBy(*by, one, two, "need")
         .agg(F.count("*").alias("shared"))
     )
