@@ -82,12 +82,12 @@ def _substrings(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pii(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find(_documents(spark, sf), ["doc_id"], redact=False)
-    counts = [
-        F.size(F.filter("result.base", lambda s, k=kind: s.startswith(f"{k}:"))).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
+
+    def count(kind: str):
+        return F.size(F.filter("result.base", lambda s: s.startswith(f"{kind}:"))).cast("long")
+
     return found.select(
-        "row.doc_id", *counts,
+        "row.doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(F.array_join("result.base", ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join("result.spans", ",").alias("spans"),
     )

@@ -7,9 +7,10 @@ negatives and cannot be negative; where it would be, the step goes the other way
 flexible model from explaining every unlabelled text away. The prior is the toxic share of all
 training labels, counted over all of them.
 
-Features are the distinct words of the whole text. The model is fitted in numpy to the ``POSITIVE``
-confirmed and the ``UNLABELLED`` other texts of smallest hash; words in fewer than ``LEAST`` of
-these have no weight, and a lasso step removes words without evidence. The weights go to the tasks
+Features are the distinct words of the whole text and their beginnings (``PREFIX`` bytes, for words
+that are derived from a common stem). The model is fitted in numpy to the ``POSITIVE``
+confirmed and the ``UNLABELLED`` other texts of smallest hash; features in fewer than
+``LEAST`` of these have no weight, and a lasso step removes those without evidence. The weights go to the tasks
 as one table of bounded size.
 
 Defined cases: null texts are empty and score as a text without known words; labels without doc_id
@@ -32,39 +33,48 @@ from affinia.llm.common import annotate, plain_words
 from affinia.llm.quality import held_out
 from affinia.llm.trees import sigmoid
 
-POSITIVE = 5_000
-UNLABELLED = 10_000
+POSITIVE = 3_000
+UNLABELLED = 6_000
 LEAST = 8
-STEPS = 250
-LASSO = 2e-5
+STEPS = 300
+LASSO = 1e-4
+PREFIX = 4
 THRESHOLD = 0.7
 
 
+def features(text: str | None) -> set[bytes]:
+    words = set(plain_words(text))
+    return words | {w[:PREFIX] + b"*" for w in words if len(w) > PREFIX}
+
+
 class Model:
-    """score = logistic(base + the weights of the text's distinct words)."""
+    """score = logistic(base + the weights of the text's features)."""
 
     def __init__(self, base: float, weights: dict[bytes, float]):
         self.base, self.weights = base, weights
 
 
 def score(base: float, weights: dict[bytes, float], text: str | None) -> float:
-    known = weights.keys() & set(plain_words(text))
+    known = weights.keys() & features(text)
     # In one order, so that equal texts have equal scores.
     total = base + sum(weights[w] for w in sorted(known))
     return float(sigmoid(np.float64(total)))
 
 
-def fit(positive: list[list[bytes]], unlabelled: list[list[bytes]], prior: float) -> Model:
-    """From the distinct words of the texts of both samples."""
+def fit(positive: list[bytes], unlabelled: list[bytes], prior: float) -> Model:
+    """From the features of the texts of both samples, each text's joined by blanks."""
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     base = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(base, {})
     texts = positive + unlabelled
-    seen = Counter(w for words in texts for w in words)
+    seen = Counter()
+    for text in texts:
+        seen.update(text.split())
     vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= LEAST))}
-    rows = [np.array(sorted(vocabulary[w] for w in words if w in vocabulary), np.int32) for words in texts]
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    del seen
+    rows = [np.array(sorted(vocabulary[w] for w in t.split() if w in vocabulary), np.int32) for t in texts]
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     column = np.concatenate(rows)
     n_pos, n_unl, n = len(positive), len(unlabelled), len(rows)
     is_pos = np.arange(n) < n_pos
@@ -111,15 +121,15 @@ def train(
     picked = others.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(unlabelled).distinct()
 
     def distinct(values: list) -> list[dict]:
-        return [{"words": b" ".join(sorted(set(plain_words(t))))} for t in values]
+        return [{"words": b" ".join(sorted(features(t)))} for t in values]
 
     kind = T.StructType([T.StructField("words", T.BinaryType())])
 
-    def words_of(sample: DataFrame, most: int) -> list[list[bytes]]:
+    def words_of(sample: DataFrame, most: int) -> list[bytes]:
         mine = texts.join(F.broadcast(sample), "doc_id", "left_semi")
         rows = annotate(mine, distinct, kind, carry=["doc_id"]).select("row.doc_id", "result.words")
         held = rows.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "words").limit(most).toArrow()
-        return [w.split(b" ") if w else [] for w in held.column("words").to_pylist()]
+        return held.column("words").to_pylist()
 
     return fit(words_of(chosen, positive), words_of(picked, unlabelled), toxic / total)
 
