@@ -40,6 +40,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def thinned(df: DataFrame, key: Column, rows: int, want: int) -> DataFrame:
+    """The rows of smallest hash ``key``, about four times as many as wanted of ``rows``.
+
+    Whoever then takes the first ``want`` in the order of a hash sorts a bounded number of rows.
+    """
+    if rows <= 4 * want:
+        return df
+    return df.where(F.pmod(key, F.lit(1 << 40)) < int((1 << 40) * 4 * want / rows))
+
+
 def packed(columns: list[str]) -> Column:
     """All ``columns`` as one struct, so that added columns cannot clash with them."""
     return F.struct(*[F.col(f"`{c}`").alias(c) for c in columns])

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm import trees
-from affinia.llm.common import packed
+from affinia.llm.common import packed, thinned
 
 SAMPLE = 20_000
 PENALTY = 0.0005
@@ -120,12 +120,13 @@ def lasso_logistic(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 40
 
 def labelled_sample(labels: DataFrame, mark: str, modulus: int, rest: int, rows: int) -> DataFrame:
     """doc_id, y of the training labels of smallest hash, at most ``rows`` of them."""
-    return (
+    known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(mark).isin(0, 1))
         .where(~held_out(F.col("doc_id"), modulus, rest))
         .select("doc_id", F.col(mark).cast("double").alias("y"))
-        .orderBy(F.xxhash64("doc_id", F.lit(modulus)), "doc_id", "y").limit(rows)
     )
+    key = F.xxhash64("doc_id", F.lit(modulus))
+    return thinned(known, key, known.count(), rows).orderBy(key, "doc_id", "y").limit(rows)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from affinia.llm.common import annotate, plain_words
+from affinia.llm.common import annotate, plain_words, thinned
 from affinia.llm.quality import held_out
 from affinia.llm.trees import sigmoid
 
@@ -114,11 +114,13 @@ def train(
     order = F.xxhash64("doc_id", F.lit(3))
     # Both samples are bounded by their parameters, and so is what is broadcast or collected.
     chosen = F.broadcast(
-        known.where("toxic = 1").select("doc_id").distinct().orderBy(order, "doc_id").limit(positive)
+        thinned(known.where("toxic = 1").select("doc_id").distinct(), order, toxic, positive)
+        .orderBy(order, "doc_id").limit(positive)
     )
     texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     others = texts.where(~held_out(F.col("doc_id"), 3, 1)).select("doc_id")
-    picked = others.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(unlabelled).distinct()
+    other = F.xxhash64("doc_id", F.lit(5))
+    picked = thinned(others, other, others.count(), unlabelled).orderBy(other, "doc_id").limit(unlabelled).distinct()
 
     def distinct(values: list) -> list[dict]:
         return [{"words": b" ".join(sorted(features(t)))} for t in values]
