@@ -80,19 +80,16 @@ RULES = [
 ]
 
 _BREAK = r"[.!?;:]+(?=[ \t\r\n]|$)"
+_MARK = r"[ \t]*(?:#+|//+|\*+|;+|--+)?[ \t]*"  # of a comment line
 _LINES = re.compile(_BREAK + r"|[\r\n]+")
-_WRAPPED = re.compile(_BREAK + r"|(?:\r?\n[ \t]*){2,}")
-_WRAP_MARKS = re.compile(r"\r?\n[ \t]*(?:#+|//+|\*+|;+|--+)?[ \t]*")
+_WRAPPED = re.compile(_BREAK + rf"|\r?\n(?:{_MARK}\r?\n)+")
+_WRAP_MARKS = re.compile(r"\r?\n" + _MARK)
 _OTHER = re.compile(r"[^a-z0-9]+")
 
 
 def normalised(sentence: str) -> str:
     """Lower case, every run of other characters than ASCII letters and digits one blank."""
-    return _OTHER.sub(" ", "".join(_ascii_lower(sentence))).strip()
-
-
-def _ascii_lower(text: str) -> str:
-    return text.encode().lower().decode()
+    return _OTHER.sub(" ", sentence.encode().lower().decode()).strip()
 
 
 KNOWN: dict[str, str] = {}
