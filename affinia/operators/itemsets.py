@@ -54,28 +54,45 @@ def son_candidates(
     """Phase one: itemsets frequent in some chunk of baskets at its share of the support.
 
     ``chunk`` maps a basket to 0..chunks-1; by default a hash of the basket. The local limit is
-    the smallest whole number not below ``support * chunk baskets / all baskets``.
+    the smallest whole number not below ``support * chunk baskets / all baskets``. Chunks too small
+    for a limit of at least two baskets are joined with the next smallest, as nearly every set of
+    items would be frequent there; the itemsets of phase two are the same for any chunks.
     """
     if chunk is None:
         chunk = F.pmod(F.xxhash64("basket"), F.lit(chunks))
     chunked = rows.withColumn("chunk", chunk.cast("int"))
     sizes = chunked.groupBy("chunk").agg(F.count_distinct("basket").alias("n"))
     sizes = sizes.groupBy().agg(
-        F.sum("n").alias("all"), F.min("n").alias("least"),
+        F.sum("n").alias("all"),
         F.map_from_entries(F.collect_list(F.struct("chunk", "n"))).alias("n"),
     )
     known = facts(sizes)
     if not known["n"]:
         return _no_itemsets(rows).select("size", "items")
-    if len(known["n"]) > 1 and support * known["least"] < 2 * known["all"]:
-        raise ValueError("the support is too low for so many chunks: use fewer")
+    joined = _large_chunks(known["n"], support)
+    sizes = {}
+    for own, n in known["n"].items():
+        sizes[joined[own]] = sizes.get(joined[own], 0) + n
+    chunk_of = F.create_map(*[F.lit(v) for entry in joined.items() for v in entry])
     need = F.create_map(
-        *[F.lit(v) for c, n in known["n"].items() for v in (c, -(-support * n // known["all"]))]
+        *[F.lit(v) for c, n in sizes.items() for v in (c, -(-support * n // known["all"]))]
+    )
+    keyed = chunked.withColumn("chunk", chunk_of[F.col("chunk")]).withColumn(
+        "need", need[F.col("chunk")].cast("long")
     )
-    keyed = chunked.withColumn("need", need[F.col("chunk")].cast("long"))
     return _levels(keyed, ["chunk"], max_size, hot).select("size", "items").distinct()
 
 
+def _large_chunks(sizes: dict[int, int], support: int) -> dict[int, int]:
+    """The chunk that each chunk is joined into, so that every limit is two baskets or more."""
+    total = sum(sizes.values())
+    left = sorted((n, [c]) for c, n in sizes.items())
+    while len(left) > 1 and support * left[0][0] < 2 * total:
+        (n, own), (more, others) = left[:2]
+        left = sorted([(n + more, others + own), *left[2:]])
+    return {c: members[0] for _, members in left for c in members}
+
+
 def son_frequent(
     rows: DataFrame,
     support: int,

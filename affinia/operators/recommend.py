@@ -31,10 +31,7 @@ def pair_similarity(
     train: DataFrame, test: DataFrame, side: str = "user",
     hot: int = HOT, hot_entity: int = HOT_ENTITY, pair_rows: int = PAIR_ROWS,
 ) -> DataFrame:
-    """(id_1, id_2, n_common, w) for every test entity and each neighbour it needs.
-
-    ``train`` must have unique (user, item) pairs, see ``unique_ratings``.
-    """
+    """(id_1, id_2, n_common, w) for every test entity and each neighbour it needs."""
     around = _neighbourhood(train, test, side, hot, hot_entity, pair_rows)
     return around.pairs().select(
         F.col("e").alias("id_1"), F.col("v").alias("id_2"), F.col("n").alias("n_common"), "w"
@@ -49,7 +46,7 @@ def cf_predict(
 
     The mean rating of the active entity plus the weighted deviations of all its neighbours,
     limited to 0..5; rows of entities without any rating get the mean of all other predictions.
-    ``train`` must have unique (user, item) pairs, see ``unique_ratings``.
+    Of a pair that ``train`` repeats, neighbours use the highest rating, the mean all of them.
     """
     entity, feature = _SIDES[side]
     around = _neighbourhood(train, test, side, hot, hot_entity, pair_rows)
@@ -125,9 +122,10 @@ def als_predict(
 
 
 def rmse(actual: DataFrame, predicted: DataFrame) -> DataFrame:
-    """(n, rmse) over the pairs present in both, ``rating`` against ``prediction``."""
+    """(n, rmse) over the ratings whose pair is predicted; a repeated pair has one prediction."""
     error = F.col("rating") - F.col("prediction")
-    joined = actual.join(predicted, ["user_id", "business_id"])
+    pair = ["user_id", "business_id"]
+    joined = actual.join(predicted.groupBy(*pair).agg(F.avg("prediction").alias("prediction")), pair)
     return joined.agg(F.count(error).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse"))
 
 
@@ -135,7 +133,7 @@ def _neighbourhood(
     train: DataFrame, test: DataFrame, side: str, hot: int, hot_entity: int, pair_rows: int
 ) -> Neighbourhood:
     entity, feature = _SIDES[side]
-    ratings = train.select(
+    ratings = unique_ratings(train).select(
         F.col(entity).alias("e"), F.col(feature).alias("f"), F.col("rating").alias("x")
     )
     targets = test.select(F.col(entity).alias("e"), F.col(feature).alias("f")).distinct()

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
+    """This application's folder in the one that all executors share.
 
-    Only a local session, where driver and executors are one machine, gets a folder of its own.
+    That is ``spark.checkpoint.dir``, else the context's checkpoint folder, else the warehouse.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="affinia-"))
-    return context.getCheckpointDir().rstrip("/")
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return f"{base.rstrip('/')}/affinia-{context.applicationId}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

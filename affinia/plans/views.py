@@ -31,6 +31,15 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reviewers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user of every review."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").cast("string").alias("user_id")
+    )
+
+
 def review_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("business_id"),

@@ -19,8 +19,11 @@ def _edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _paths(spark: SparkSession, sf: str) -> DataFrame:
+    # By root and distance: a row per connected pair would be the square of the nodes.
     counted = graph.shortest_path_counts(_edges(spark, sf))
-    return counted.withColumn("sigma", F.col("sigma").cast("long"))
+    return counted.groupBy("root", "dist").agg(
+        F.count("*").alias("nodes"), F.sum("sigma").cast("long").alias("paths")
+    )
 
 
 def _betweenness(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,7 +94,8 @@ ORACLES = {
     "adjacency": f"{_EDGES} SELECT src, dst FROM adjacency",
     "node_degree": f"{_EDGES} SELECT src AS node, count(*) AS degree FROM adjacency GROUP BY 1",
     "connected_components": f"{_LABELS} SELECT node, component FROM labels",
-    "shortest_path_counts": f"{_BFS} SELECT root, node, dist, sigma FROM paths",
+    "shortest_path_counts": f"{_BFS} SELECT root, dist, count(*) AS nodes, sum(sigma)::BIGINT AS paths "
+    "FROM paths GROUP BY 1, 2",
     "edge_betweenness": f"""
 {_BFS}
 SELECT e.u, e.v, round(sum(s.sigma * t.sigma / st.sigma), 6) AS betweenness

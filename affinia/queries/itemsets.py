@@ -9,6 +9,7 @@ from affinia.plans import views
 SUPPORT = 5
 CHUNKS = 2
 PAIR_SUPPORT = 25
+MIN_ROWS = 4
 
 
 def _joined(df: DataFrame) -> DataFrame:
@@ -24,8 +25,8 @@ def _chunk():
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Two-phase itemset mining, up to size 3 as the smallest tables have 10 items only."""
-    mined = itemsets.son_frequent(_by_order(spark, sf), SUPPORT, CHUNKS, _chunk(), max_size=3)
+    """Two-phase itemset mining."""
+    mined = itemsets.son_frequent(_by_order(spark, sf), SUPPORT, CHUNKS, _chunk())
     return _joined(mined)
 
 
@@ -43,7 +44,7 @@ QUERIES = {
         views.basket_pairs(spark, sf), by="item", item="basket"
     ),
     "baskets_min_rows": lambda spark, sf: itemsets.baskets(
-        views.basket_pairs(spark, sf), min_rows=4
+        views.basket_pairs(spark, sf), min_rows=MIN_ROWS
     ),
     "apriori_candidates": _apriori,
     "son_candidates": lambda spark, sf: _joined(
@@ -52,6 +53,9 @@ QUERIES = {
     "son_frequent": lambda spark, sf: _joined(
         itemsets.son_frequent(_by_order(spark, sf), SUPPORT, CHUNKS, _chunk())
     ),
+    "son_frequent_active": lambda spark, sf: _joined(itemsets.son_frequent(
+        itemsets.baskets(views.basket_pairs(spark, sf), min_rows=MIN_ROWS), SUPPORT, CHUNKS, _chunk()
+    )),
     "frequent_itemsets": lambda spark, sf: _joined(
         itemsets.frequent_itemsets(_by_order(spark, sf), SUPPORT)
     ),
@@ -62,33 +66,42 @@ b AS MATERIALIZED (SELECT DISTINCT l_orderkey::VARCHAR AS basket, l_suppkey::VAR
                    FROM lineitem)
 """
 
-_FREQUENT = f"""
-WITH {_BASKETS},
-f1 AS MATERIALIZED (SELECT item AS a, count(*) AS freq FROM b GROUP BY 1 HAVING count(*) >= {{s}}),
+_LEVELS = """
+f1 AS MATERIALIZED (SELECT item AS a, count(*) AS freq FROM b GROUP BY 1 HAVING count(*) >= {s}),
 f2 AS MATERIALIZED (
   SELECT x.item AS a, y.item AS b, count(*) AS freq
   FROM b x JOIN b y ON x.basket = y.basket AND x.item < y.item
-  GROUP BY 1, 2 HAVING count(*) >= {{s}}),
+  GROUP BY 1, 2 HAVING count(*) >= {s}),
 f3 AS MATERIALIZED (
   SELECT x.item AS a, y.item AS b, z.item AS c, count(*) AS freq
   FROM b x JOIN b y ON x.basket = y.basket AND x.item < y.item
            JOIN b z ON x.basket = z.basket AND y.item < z.item
-  GROUP BY 1, 2, 3 HAVING count(*) >= {{s}}),
+  GROUP BY 1, 2, 3 HAVING count(*) >= {s}),
 f4 AS MATERIALIZED (
   SELECT x.item AS a, y.item AS b, z.item AS c, w.item AS d, count(*) AS freq
   FROM b x JOIN b y ON x.basket = y.basket AND x.item < y.item
            JOIN b z ON x.basket = z.basket AND y.item < z.item
            JOIN b w ON x.basket = w.basket AND z.item < w.item
-  GROUP BY 1, 2, 3, 4 HAVING count(*) >= {{s}})
+  GROUP BY 1, 2, 3, 4 HAVING count(*) >= {s})
 """
 
-_ALL_FREQUENT = _FREQUENT.format(s=SUPPORT) + """
+_FREQUENT = f"WITH {_BASKETS}, {_LEVELS}"
+
+_UNION = """
 SELECT 1 AS size, a AS itemset, freq FROM f1
 UNION ALL SELECT 2, a || ',' || b, freq FROM f2
 UNION ALL SELECT 3, a || ',' || b || ',' || c, freq FROM f3
 UNION ALL SELECT 4, a || ',' || b || ',' || c || ',' || d, freq FROM f4
 """
 
+_ALL_FREQUENT = _FREQUENT.format(s=SUPPORT) + _UNION
+
+_ACTIVE = f"""
+b AS MATERIALIZED (
+  SELECT DISTINCT l_orderkey::VARCHAR AS basket, l_suppkey::VARCHAR AS item FROM lineitem
+  WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > {MIN_ROWS}))
+"""
+
 
 def _chunk_level(size: int) -> str:
     """Itemsets of one size that reach the chunk's share of the support in some chunk."""
@@ -123,5 +136,6 @@ c AS MATERIALIZED (
   FROM (SELECT basket::BIGINT % {CHUNKS} AS chunk, count(DISTINCT basket) AS n FROM b GROUP BY 1))
 """ + " UNION ALL ".join(_chunk_level(size) for size in (1, 2, 3, 4)),
     "son_frequent": _ALL_FREQUENT,
+    "son_frequent_active": f"WITH {_ACTIVE}, {_LEVELS.format(s=SUPPORT)} {_UNION}",
     "frequent_itemsets": _ALL_FREQUENT,
 }

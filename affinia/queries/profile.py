@@ -5,12 +5,23 @@ from pyspark.sql import functions as F
 from affinia.operators import profile
 from affinia.plans import views
 
+def _summary(spark, sf):
+    """The metrics and both lists in one row, the lists as id:n;id:n;..."""
+    row = profile.profile_summary(views.reviews(spark, sf), 20)
+    lists = {
+        name: F.array_join(F.transform(name, lambda x: F.concat_ws(":", x["id"], x["n"])), ";")
+        for name in ("top20_user", "top20_business")
+    }
+    return row.withColumns(lists)
+
+
 QUERIES = {
     "review_metrics": lambda spark, sf: profile.review_metrics(views.reviews(spark, sf)),
-    "top_users": lambda spark, sf: profile.top_keys(views.reviews(spark, sf), "user_id", 20),
+    "top_users": lambda spark, sf: profile.top_keys(views.reviewers(spark, sf), "user_id", 20),
     "top_businesses": lambda spark, sf: profile.top_keys(
-        views.reviews(spark, sf), "business_id", 20
+        views.review_stars(spark, sf), "business_id", 20
     ),
+    "profile_summary": _summary,
     "state_avg_stars": lambda spark, sf: profile.state_avg_stars(
         views.review_stars(spark, sf), views.businesses(spark, sf)
     ).withColumn("stars", F.round("stars", 6)),
@@ -46,7 +57,20 @@ def _top(key: str) -> str:
     )
 
 
+def _listed(key: str) -> str:
+    return f"(SELECT string_agg({key} || ':' || n, ';' ORDER BY n DESC, {key}) FROM ({_top(key)}))"
+
+
 ORACLES = {
+    "profile_summary": f"""
+WITH {_REVIEWS}
+SELECT count(*) FILTER (useful > 0) AS n_review_useful,
+       count(*) FILTER (stars = 5) AS n_review_5_star,
+       max(length(text)) AS n_characters,
+       count(DISTINCT user_id) AS n_user,
+       count(DISTINCT business_id) AS n_business,
+       {_listed("user_id")} AS top20_user, {_listed("business_id")} AS top20_business
+FROM reviews""",
     "review_metrics": f"""
 WITH {_REVIEWS}
 SELECT count(*) FILTER (useful > 0) AS n_review_useful,

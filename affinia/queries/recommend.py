@@ -17,8 +17,12 @@ def _split(spark: SparkSession, sf: str, side: str = "user") -> tuple[DataFrame,
 
 def _similarity(side: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
+        # One row per entity: all its neighbours would be rows in the square of the entities.
         pairs = recommend.pair_similarity(*_split(spark, sf, side), side)
-        return pairs.withColumn("w", F.round("w", 6))
+        return pairs.groupBy("id_1").agg(
+            F.count("*").alias("n_neighbours"), F.sum("n_common").cast("long").alias("n_common"),
+            F.round(F.sum("w"), 4).alias("total_w"),
+        )
 
     return query
 
@@ -128,8 +132,8 @@ def _cold_sql(key: str, side: str) -> str:
 
 def _similarity_sql(side: str) -> str:
     return (
-        f"{_pairs_sql(side)} SELECT e AS id_1, v AS id_2, n::BIGINT AS n_common, "
-        "round(w, 6) AS w FROM pairs"
+        f"{_pairs_sql(side)} SELECT e AS id_1, count(*) AS n_neighbours, "
+        "sum(n)::BIGINT AS n_common, round(sum(w), 4) AS total_w FROM pairs GROUP BY 1"
     )
 
 

@@ -24,13 +24,13 @@ HEADLINE = [
     "cf_item_predict", "cf_user_predict", "als_predict", "coactivity_edges",
     "connected_components", "edge_betweenness", "gn_communities",
 ]
-# Smallest overlap that links two users, by scale factor: larger tables share fewer items.
-AT_LEAST = {"sf0.1": 4}
+# Smallest overlap that links two users; low enough to give edges at every scale.
+AT_LEAST = 4
 
 
-def linked(at_least: int) -> dict:
+def linked() -> dict:
     def edges(spark, sf):
-        return graph.coactivity_edges(views.graph_pairs(spark, sf), at_least)
+        return graph.coactivity_edges(views.graph_pairs(spark, sf), AT_LEAST)
 
     def staged(spark, sf):
         return stage(edges(spark, sf), "edges")
@@ -59,9 +59,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     sf = os.path.basename(sf_dir)
-    runs = dict(QUERIES)
-    if sf in AT_LEAST:
-        runs.update(linked(AT_LEAST[sf]))
+    runs = QUERIES | linked()
     runs["review_metrics"](spark, sf_dir).collect()
     seconds = {}
     for name in chosen.split(",") if chosen else HEADLINE:

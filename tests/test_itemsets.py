@@ -51,9 +51,19 @@ def test_two_phases_give_the_same_and_candidates_contain_it(spark, baskets, hot)
     assert set(expected) <= {tuple(r["items"]) for r in candidates}
 
 
-def test_too_many_chunks_are_refused(spark, baskets):
-    with pytest.raises(ValueError):
-        itemsets.son_candidates(make_rows(spark, baskets), 4, 8)
+@pytest.mark.parametrize("chunks,chunk", [
+    (16, None), (2, "if(basket = 'b1', 0, 1)"),
+])
+def test_small_and_uneven_chunks_give_the_same(spark, baskets, chunks, chunk):
+    chunk = None if chunk is None else F.expr(chunk)
+    mined = itemsets.son_frequent(make_rows(spark, baskets), 6, chunks, chunk)
+    assert found(mined) == brute_force(baskets, 6)
+
+
+def test_small_chunks_are_joined():
+    joined = itemsets._large_chunks({0: 1, 1: 100, 2: 100}, 5)
+    assert joined[0] in (joined[1], joined[2]) and joined[1] != joined[2]
+    assert len(set(itemsets._large_chunks({c: 10 for c in range(10)}, 4).values())) <= 2
 
 
 def test_fp_growth_agrees(spark, baskets):

@@ -118,3 +118,25 @@ def test_rmse(spark):
 def test_repeated_ratings_are_reduced(spark):
     rows = frame(spark, [("a", "x", 3.0), ("a", "x", 5.0), ("b", None, 1.0)])
     assert [tuple(r) for r in recommend.unique_ratings(rows).collect()] == [("a", "x", 5.0)]
+
+
+def test_rmse_counts_every_rating_of_a_repeated_pair_once(spark):
+    names = "user_id long, business_id long, "
+    actual = spark.createDataFrame([(1, 1, 5.0), (1, 1, 3.0), (2, 1, 4.0)], names + "rating double")
+    predicted = spark.createDataFrame(
+        [(1, 1, 4.0), (1, 1, 4.0), (2, 1, 2.0)], names + "prediction double"
+    )
+    row = recommend.rmse(actual, predicted).first()
+    assert row.n == 3 and abs(row.rmse - 2**0.5) < 1e-12
+
+
+def test_repeated_training_pairs_are_reduced(spark):
+    names = "user_id long, business_id long, rating double"
+    once = [(1, 1, 4.0), (2, 1, 5.0), (2, 2, 3.0), (3, 1, 2.0), (3, 2, 5.0), (1, 3, 1.0), (2, 3, 2.0)]
+    test = spark.createDataFrame([(1, 2, 0.0)], names)
+
+    def predicted(rows):
+        return recommend.cf_predict(spark.createDataFrame(rows, names), test).first().prediction
+
+    # The repeats are equal to the neighbours' ratings or lower, and do not touch the active user.
+    assert abs(predicted(once) - predicted(once + [(2, 1, 5.0), (3, 2, 1.0)])) < 1e-12
