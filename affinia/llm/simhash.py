@@ -258,9 +258,11 @@ def near_duplicates(
     linked = own.join(found, own.fp == found.node).select("fp", "own", "root")
     smallest = linked.groupBy("root").agg(F.min("own").alias("smallest"))
     moved = linked.join(smallest, "root").select("fp", "smallest")
-    classes = own.join(moved, "fp", "left").select(
+    # Staged, so that the last join has plain inputs: then a fingerprint that very many documents
+    # share is split at run time.
+    classes = stage(own.join(moved, "fp", "left").select(
         "fp", F.coalesce("smallest", "own").alias("component_id")
-    )
+    ), "classes")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
