@@ -191,10 +191,14 @@ def _is_record(file, size: int, at: int) -> bool:
 
 def read(spark: SparkSession, folder: str, range_bytes: int = RANGE) -> DataFrame:
     """page_id, url, record_type, refers_to, payload (null for revisits), payload_bytes, payload_digest."""
-    files = spark.read.format("binaryFile").load(folder).select("path", "length")
-    ranges = files.where("length > 0").select(
-        "path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("start")
-    ).repartition("path", "start")
+    files = spark.read.format("binaryFile").load(folder).select("path", "length").where("length > 0")
+    count = files.agg(F.sum(F.ceil(F.col("length") / range_bytes))).first()[0] or 1
+    step = F.lit(range_bytes).cast("long")
+    # A given number of partitions stays as it is; by their few bytes, rows would meet in one task.
+    ranges = files.select(
+        "path", "length",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)).alias("start"),
+    ).repartition(int(min(count, 100_000)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
