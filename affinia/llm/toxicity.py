@@ -7,8 +7,9 @@ negatives and cannot be negative; where it would be, the step goes the other way
 flexible model from explaining every unlabelled text away. The prior is the toxic share of all
 training labels, counted over all of them.
 
-Features are the distinct words of the whole text and their beginnings (``PREFIX`` bytes, for words
-that are derived from a common stem). The model is fitted in numpy to the ``POSITIVE``
+Features are the distinct words of the whole text, their beginnings (of each length of ``PREFIXES``
+bytes, for words that are derived from a common stem), and the beginnings of two or more different
+words: one word may quote or resemble an insult, several of one stem rarely do. The model is fitted in numpy to the ``POSITIVE``
 confirmed and the ``UNLABELLED`` other texts of smallest hash; features in fewer than
 ``LEAST`` of these have no weight, and a lasso step removes those without evidence. The weights go to the tasks
 as one table of bounded size.
@@ -37,14 +38,18 @@ POSITIVE = 3_000
 UNLABELLED = 6_000
 LEAST = 8
 STEPS = 300
-LASSO = 1e-4
-PREFIX = 4
+LASSO = 3e-4
+PREFIXES = (4, 6)
 THRESHOLD = 0.7
 
 
 def features(text: str | None) -> set[bytes]:
     words = set(plain_words(text))
-    return words | {w[:PREFIX] + b"*" for w in words if len(w) > PREFIX}
+    found = set(words)
+    for length in PREFIXES:
+        begun = Counter(w[:length] for w in words if len(w) > length)
+        found |= {w + b"*" for w in begun} | {w + b"**" for w, n in begun.items() if n > 1}
+    return found
 
 
 class Model:

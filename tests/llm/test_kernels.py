@@ -119,6 +119,13 @@ def test_boosted_trees_and_rules_fit():
     assert quality.fit_rules(x, np.ones(3000), list("abcd")).rules == []
 
 
+def test_toxicity_features_count_different_words_of_one_beginning():
+    assert toxicity.features(None) == set() == toxicity.features(" .,")
+    once = toxicity.features("Vileness vileness")
+    assert once == {b"vileness", b"vile*", b"vilene*"}
+    assert toxicity.features("vileness vilenest") - once == {b"vilenest", b"vile**", b"vilene**"}
+
+
 def test_positive_unlabelled_learning():
     rng = np.random.default_rng(4)
     words = [f"w{i}".encode() for i in range(300)]
