@@ -38,7 +38,7 @@ POSITIVE = 3_000
 UNLABELLED = 6_000
 LEAST = 8
 STEPS = 300
-LASSO = 3e-4
+LASSO = 1.5e-4
 PREFIXES = (4, 6)
 THRESHOLD = 0.7
 
