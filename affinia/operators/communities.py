@@ -16,7 +16,7 @@ from affinia.functions.paths import DIGITS, graph_of, removals
 from affinia.operators.graph import (
     SMALL_EDGES, component_sizes, components, degrees, edge_betweenness,
 )
-from affinia.plans.staging import facts, has_rows, stage
+from affinia.plans.staging import Appended, facts, has_rows, stage
 
 TASK_STEPS = 1_000_000_000
 RANGE_ROWS = 1_000_000
@@ -88,7 +88,7 @@ def _removed_in_rounds(
     large: DataFrame, edges: DataFrame, n_edges: int, small: int
 ) -> DataFrame:
     """Removals in components too large for one task, one edge of each per round."""
-    left, step, out = large, 0, None
+    left, step, out = large, 0, Appended(large.sparkSession, "rounds")
     degree = stage(degrees(edges), "degree")
     labels = components(left)
     while has_rows(left):
@@ -107,9 +107,8 @@ def _removed_in_rounds(
             "component", F.lit(step).alias("step"), "u", "v", "betweenness",
             F.coalesce("gain", F.lit(0.0)).alias("gain"),
         )
-        rows = stage(rows, "round")
-        out = rows if out is None else out.union(rows)
-    return out
+        out.add(rows)
+    return out.rows()
 
 
 def _relabelled(found: DataFrame, before: DataFrame) -> DataFrame:

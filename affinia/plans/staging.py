@@ -33,6 +33,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Appended:
+    """A table that a loop adds to, so that the plan of the whole does not grow with the rounds."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.schema = spark, None
+        self.path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def add(self, df: DataFrame) -> None:
+        df.write.mode("append").parquet(self.path)
+        self.schema = df.schema
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def facts(df: DataFrame) -> dict:
     """The single row of a global aggregate, as a dict."""
     return df.first().asDict()
