@@ -108,6 +108,24 @@ def test_candidates_are_wider_than_the_base():
     assert pii.redacted("a@b.c x 1.2.3.4", pii.base_spans("a@b.c x 1.2.3.4")) == "<EMAIL> x <IP>"
 
 
+def test_candidates_of_numbers_side_by_side():
+    found = lambda text: {(k, text[a:b]) for k, a, b in pii.candidates(text)}
+    for first, second in (("7536784127813050", "4845168114407329"), ("2353820953013749", "4550997810720808")):
+        text = f"aux {first} {second} and"
+        assert pii.base_spans(text) == []
+        assert {("card", first), ("card", second)} <= found(text)
+        assert {("card", first), ("card", second)} <= found("7 7 7 7 7 7 7 7 7 " + text[4:] + " 1" * 30)
+    for phone, ip in (("+1 (826) 555-4081", "190.137.223.204"), ("+1 (843) 555-7672", "170.106.47.218")):
+        assert {("phone", phone), ("ip", ip)} <= found(f"Des {phone} {ip} du")
+        assert {("phone", phone), ("ip", ip)} <= found(f"Des {ip} {phone} du")
+    assert ("phone", "(0541) 555 0101") in found("4111 1111 1111 1111 (0541) 555 0101")
+
+
+def test_candidates_of_long_runs_are_few():
+    for text in ("1 " * 10_000, "1" * 200_000, "1." * 10_000, "12(" * 10_000):
+        assert len(pii.candidates(text)) <= 40 * len(re.findall("[0-9]+", text))
+
+
 def test_boosted_trees_and_rules_fit():
     rng = np.random.default_rng(3)
     x = rng.random((3000, 4))
