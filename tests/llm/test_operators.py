@@ -111,6 +111,27 @@ def test_personal_data(docs, rows):
     assert clean.where(F.col("text") == text).select("n_chars").first()[0] == len(text)
 
 
+LOOSE = [
+    ("write jo [at] ex [dot] org, ok", ["email:6:26"], "write <EMAIL>, ok"),
+    ("the card 4111/1111/1111/1111, ok", ["card:9:28"], "the card <CARD>, ok"),
+    ("my tel (0541) 555 0101, ok", ["phone:7:22"], "my tel <PHONE>, ok"),
+    ("host 10 . 0 . 0 . 1 ok", ["ip:5:19"], "host <IP> ok"),
+    ("aux 7536784127813050 4845168114407329 eai", ["card:4:20", "card:21:37"], "aux <CARD> <CARD> eai"),
+    ("Des +1 (826) 555-4081 190.137.223.204 du", ["ip:22:37", "phone:4:21"], "Des <PHONE> <IP> du"),
+    ("years 2001 2002 2003 2004 2005, or 7536784127813051", [], "years 2001 2002 2003 2004 2005, or 7536784127813051"),
+    ("the card 4111/1111/1111/1112, the number 5550101", [], "the card 4111/1111/1111/1112, the number 5550101"),
+    ("1. 2. 3. 4 and a1234567b", [], "1. 2. 3. 4 and a1234567b"),
+    (None, [], None),
+]
+
+
+def test_personal_data_of_looser_formats_is_added(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(LOOSE)], "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find(docs, ["doc_id"]).select("row.doc_id", "result.spans", "result.redacted").collect()}
+    for i, (_, spans, clean) in enumerate(LOOSE):
+        assert (found[i].spans, found[i].redacted) == (spans, clean)
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
