@@ -57,15 +57,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(set_bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The carried columns and fp (the fingerprint as a signed long) of every row."""
 
     def fn(texts: list) -> list[dict]:
         values = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
         return [{"fp": v} for v in values.tolist()]
 
     result = T.StructType([T.StructField("fp", T.LongType())])
-    return unpacked(annotate(docs, fn, result, carry=["doc_id"]))
+    return unpacked(annotate(docs, fn, result, carry=list(carry)))
 
 
 def _masks(distinct: int, radius: int) -> list[int]:
@@ -267,22 +267,36 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each class the row of the smallest doc_id.
+    """The rows of ``docs`` without near copies: of each class the first row by (doc_id, text), where
+    a null doc_id comes last and a null text first.
 
-    Of rows that repeat this doc_id, the one with the smallest text stays; of a class with null
-    ids only, one row stays for each different text.
+    Classes are told apart by their links and not by doc_id, and rows by doc_id and text, so each
+    class keeps one row where ids repeat or are null too.
     """
-    members = near_duplicates(docs, shingle, radius)
-    kept = members.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id")
-    ).distinct()
+    text_key = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    prints = stage(
+        fingerprints(docs.select("doc_id", "text", text_key.alias("text_key")), shingle, ("doc_id", "text_key")),
+        "fingerprints",
+    )
+    own = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    found = roots(links(own.select("fp"), radius))
+    classes = own.join(found, own.fp == found.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    # min passes over nulls, so it is null for null ids only.
+    best = classes.groupBy(F.col("root").alias("class")).agg(F.min("first").alias("best_id"))
+    wanted = classes.join(
+        best, (F.col("root") == F.col("class")) & F.col("first").eqNullSafe(F.col("best_id"))
+    ).select(F.col("fp").alias("wanted_fp"), "best_id", "class")
+    keys = prints.join(
+        wanted, (F.col("fp") == F.col("wanted_fp")) & F.col("doc_id").eqNullSafe(F.col("best_id"))
+    ).select("best_id", "text_key", "class").distinct()
     packed_docs = docs.select(
         F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("row"),
-        F.col("doc_id").alias("own_id"), F.col("text").alias("own_text"),
+        F.col("doc_id").alias("own_id"), F.col("text").alias("own_text"), text_key.alias("own_key"),
     )
-    stays = packed_docs.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    nth = F.row_number().over(
-        Window.partitionBy("own_id", F.when(F.col("own_id").isNull(), F.xxhash64("own_text")))
-        .orderBy("own_text")
+    stays = packed_docs.join(
+        keys, F.col("own_id").eqNullSafe(F.col("best_id")) & (F.col("own_key") == F.col("text_key"))
     )
+    nth = F.row_number().over(Window.partitionBy("class").orderBy("own_text"))
     return stays.withColumn("nth", nth).where("nth = 1").select("row.*")

@@ -93,6 +93,15 @@ def test_keep_one_of_each_class(docs, rows):
     assert sorted(i for i in ids if i is not None) == sorted({c for c in brute.classes(prints) if c is not None})
 
 
+def test_keep_one_where_ids_repeat_or_are_null(spark):
+    rng = random.Random(3)
+    a, b, c, d, e = sorted(" ".join(rng.choice(WORDS[:40]) for _ in range(60)) for _ in range(5))
+    upper = str.upper  # a copy, as case does not count; upper case sorts before lower case
+    rows = [(5, b), (5, a), (3, upper(a)), (7, c), (7, d), (8, upper(d)), (None, e), (None, upper(e)), (None, e), (9, None), (9, "")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag(kept) == bag([(5, b), (3, upper(a)), (7, c), (7, d), (None, upper(e)), (9, None)])
+
+
 @pytest.mark.parametrize("chunk,bucket", [(4 << 20, 1 << 20), (500, 300)])
 def test_repeated_passages(docs, rows, chunk, bucket):
     mine = substrings.remove_repeats(docs, ["doc_id"], chunk_chars=chunk, bucket_windows=bucket).select(
