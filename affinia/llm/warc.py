@@ -172,17 +172,26 @@ def _first_member(file, size: int, start: int, end: int) -> int | None:
 
 
 def _is_record(file, size: int, at: int) -> bool:
+    """Whether a member starts with a record's header, which ends where it ends: however long."""
     file.seek(at)
-    unpacker, head = zlib.decompressobj(31), b""
+    unpacker, head, rest = zlib.decompressobj(31), bytearray(), b""
     try:
-        while b"\r\n\r\n" not in head and len(head) < READ and not unpacker.eof:
-            piece = file.read(4096)
-            if not piece:
+        while True:
+            looked = max(0, len(head) - 3)
+            if not rest:
+                rest = file.read(4096)
+                if not rest:
+                    return False
+            head += unpacker.decompress(rest, READ)
+            rest = unpacker.unconsumed_tail
+            if not b"WARC/".startswith(head[:5]):
+                return False
+            if head.find(b"\r\n\r\n", looked) >= 0:
+                break
+            if unpacker.eof:
                 return False
-            head += unpacker.decompress(piece, READ)
-        top, found, _ = head.partition(b"\r\n\r\n")
-        lines = top.split(b"\r\n")
-        return bool(found) and lines[0].startswith(b"WARC/") and all(b":" in x for x in lines[1:]) and any(
+        lines = bytes(head).partition(b"\r\n\r\n")[0].split(b"\r\n")
+        return lines[0].startswith(b"WARC/") and all(b":" in x for x in lines[1:]) and any(
             x.lower().startswith(b"content-length:") for x in lines[1:]
         )
     except zlib.error:

@@ -188,6 +188,19 @@ def test_member_scan_rejects_false_magic(tmp_path):
     assert not noise.startswith(b"WARC")
 
 
+@pytest.mark.parametrize("url", ["http://x/" + "a" * 600_000, "http://x/" + " é" * 150_000])
+def test_member_with_a_very_long_header(tmp_path, url):
+    path = tmp_path / "a"
+    path.write_bytes(warc.member(b"no archive record " * 50_000) + b"".join(
+        warc.member(warc.record(i, url, b"x", "d", None)) for i in range(3)
+    ))
+    size = path.stat().st_size
+    with warc.open_file(str(path)) as file:
+        for step in (size, 1000):
+            found = [h for a in range(0, size, step) for h, _ in warc.records_in(file, size, a, min(size, a + step))]
+            assert [h["warc-record-id"] for h in found] == [f"<urn:page:{i}>" for i in range(3)]
+
+
 MIT = "\n".join([
     "// MIT License", "//", "// Permission is hereby granted, free of charge, to any person obtaining a copy",
     '// of this software and associated documentation files (the "Software"), to deal',
