@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.operators.neighbours import HOT, HOT_ENTITY, PAIR_ROWS, Neighbourhood
+from affinia.plans.numbering import numbered
 from affinia.plans.staging import facts, stage
 
 HIGHEST, LOWEST = 5.0, 0.0
-_ID_BUCKETS = 1024
 _SIDES = {"user": ("user_id", "business_id"), "item": ("business_id", "user_id")}
 
 
@@ -64,22 +64,9 @@ def cf_predict(
 
 
 def encode_ids(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
-    """(key, id): whole numbers from 0 for all keys of train and test.
-
-    Keys are numbered inside hash buckets, and the buckets one after the other.
-    """
+    """(key, id): all keys of train and test, numbered from 0 in their order."""
     keys = train.select(key).union(test.select(key)).where(F.col(key).isNotNull()).distinct()
-    placed = keys.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(_ID_BUCKETS)).cast("int"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("_bucket").agg(F.count("*").alias("_n")).select(
-        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
-    inside = Window.partitionBy("_bucket").orderBy(key)
-    return (
-        placed.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(F.broadcast(starts), "_bucket")
-        .select(key, (F.col("_start") + F.col("_rank")).cast("int").alias("id"))
-    )
+    return numbered(keys, [key], "id").select(key, "id")
 
 
 def id_universe(train: DataFrame, test: DataFrame) -> DataFrame:

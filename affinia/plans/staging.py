@@ -10,17 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder in the one that all executors share.
 
-    That is ``spark.checkpoint.dir``, else the context's checkpoint folder, else the warehouse.
+    That is ``spark.checkpoint.dir``, else the context's checkpoint folder, else the warehouse. A
+    warehouse on a local disk serves one machine only: on a cluster each executor would write to a
+    disk of its own and a stage could come back empty, so there a folder must be named.
     """
     context = spark.sparkContext
-    base = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or context.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir")
-    )
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not serves(context.master, base):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     return f"{base.rstrip('/')}/affinia-{context.applicationId}"
 
 
+def serves(master: str, folder: str) -> bool:
+    """Whether a folder that nobody named can be read by all executors of ``master``."""
+    one_machine = master == "local" or master.startswith("local[")
+    on_disk = folder.startswith(("/", "file:")) or "://" not in folder
+    return one_machine or not on_disk
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
 
@@ -30,7 +39,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    scan = spark.read.schema(df.schema).parquet(path)
+    scan.staged_at = path
+    return scan
+
+
+def spent(*stages: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, such as a loop's round before last."""
+    for df in stages:
+        path = getattr(df, "staged_at", None)
+        if path:
+            java = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            java.getFileSystem(conf).delete(java, True)
 
 
 class Appended:

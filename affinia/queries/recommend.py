@@ -53,7 +53,7 @@ def _cold(key: str, side: str):
 
 
 QUERIES = {
-    "id_universe": lambda spark, sf: recommend.id_universe(*_split(spark, sf)).drop("id"),
+    "id_universe": lambda spark, sf: recommend.id_universe(*_split(spark, sf)),
     "cold_users": _cold("user_id", "user"),
     "cold_items": _cold("business_id", "item"),
     "cf_user_similarity": _similarity("user"),
@@ -148,8 +148,10 @@ ORACLES = {
     "id_universe": f"""
 WITH {_RATINGS}, {_TRAIN_SQL["user"]}, both_parts AS (
   SELECT user_id, business_id FROM train UNION ALL SELECT user_id, business_id FROM test)
-SELECT DISTINCT 'user' AS kind, user_id::VARCHAR AS key FROM both_parts
-UNION ALL SELECT DISTINCT 'business', business_id::VARCHAR FROM both_parts""",
+SELECT 'user' AS kind, user_id::VARCHAR AS key, row_number() OVER (ORDER BY user_id) - 1 AS id
+FROM (SELECT DISTINCT user_id FROM both_parts)
+UNION ALL SELECT 'business', business_id::VARCHAR, row_number() OVER (ORDER BY business_id) - 1
+FROM (SELECT DISTINCT business_id FROM both_parts)""",
     "cold_users": _cold_sql("user_id", "user"),
     "cold_items": _cold_sql("business_id", "item"),
     "cf_user_similarity": _similarity_sql("user"),

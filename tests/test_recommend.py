@@ -3,8 +3,10 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinia.operators import recommend
+from affinia.plans.numbering import numbered
 
 
 def frame(spark, rows, rated=True):
@@ -93,7 +95,23 @@ def test_cold_rows(spark):
 def test_ids_are_dense(spark):
     train, test = data()
     ids = recommend.encode_ids(frame(spark, train), frame(spark, test, False), "user_id").collect()
-    assert sorted(r["id"] for r in ids) == list(range(len({u for u, *_ in train + test})))
+    assert sorted(map(tuple, ids)) == [(u, i) for i, u in enumerate(sorted({u for u, *_ in train + test}))]
+
+
+@pytest.mark.parametrize("ranges", ["1", "7"])
+def test_numbers_of_many_rows_follow_the_order(spark, ranges):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    keys = spark.range(30_000).select((F.col("id") * 7919 % 30_011).alias("k"))
+    rows = numbered(keys.repartition(5), ["k"])
+    check = rows.agg(
+        F.min("number"), F.max("number"), F.count_distinct("number"),
+        F.count_if(F.col("number") > F.col("k")),
+    ).first()
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert tuple(check) == (0, 29_999, 30_000, 0)
+    assert rows.schema["number"].dataType.simpleString() == "bigint"
+    assert numbered(keys.limit(0), ["k"]).isEmpty()
 
 
 def test_als_covers_every_row_and_learns(spark):
