@@ -15,31 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from affinia.plans.staging import shared_folder, stage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse where unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/llm-stages").rstrip("/")
-
-
 def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of it.
-
-    Cuts the lineage, survives lost executors, and tells the optimizer the true size.
-    """
-    path = fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def thinned(df: DataFrame, key: Column, rows: int, want: int) -> DataFrame:
     """The rows of smallest hash ``key``, about four times as many as wanted of ``rows``.
 
