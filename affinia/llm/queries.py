@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinia.llm import (
-    ann, decontaminate, licenses, packing, pii, quality, simhash, substrings, toxicity, warc,
+    ann, clustering, decontaminate, filter_audit, licenses, oracles, packing, pii, quality, sharding, simhash,
+    substrings, toxicity, warc,
 )
 from affinia.llm.common import fresh_folder, table
 
@@ -101,6 +102,21 @@ def _licenses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _cluster(spark: SparkSession, sf: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf, "embeddings"))
+
+
+def _shards(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.assign(_documents(spark, sf), carry=["doc_id"]).select(
+        "row.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": _quality,
     "op2_collision_counting": _nearest,
@@ -112,6 +128,13 @@ QUERIES = {
     "op8_substring_dedup": _substrings,
     "op9_pii": _pii,
     "op10_licenses": _licenses,
+    "op11_centroid_clustering": _cluster,
+    "op12_feistel_shards": _shards,
+    "op13_filter_audit": _audit,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op11_centroid_clustering": oracles.CLUSTERING,
+    "op12_feistel_shards": oracles.SHARDING,
+    "op13_filter_audit": oracles.FILTER_AUDIT,
+}
