@@ -122,7 +122,7 @@ def first_centroids(held: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> np.
     """The vectors with the smallest SHA-256 of "seed:vec_id"; ``k`` rows reach the driver."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     chosen = held.orderBy(key, "vector").limit(k).select("vector").collect()
-    return np.array([r.vector for r in chosen], np.int64).reshape(len(chosen), -1)
+    return np.array([r.vector for r in chosen], np.int64).reshape(-1, DIMENSION)
 
 
 def _rows(batch: pa.RecordBatch) -> np.ndarray:
