@@ -1,10 +1,12 @@
 """Filter interaction audit over a sparse document-term matrix.
 
 Words of the whole corpus get dense global numbers (a dictionary), and documents become the rows of
-a sparse matrix, stored as CSR shards: row starts, word numbers, counts. A task reads documents into
-shards of about ``SHARD_CHARS`` characters with numbers of their own and the list of their words;
-the words are numbered once for all shards, in their order; each shard's own numbers are then
-replaced by the global ones. So only a shard's distinct words travel, never its word occurrences.
+a sparse matrix, stored as CSR shards: row starts, word numbers, counts. A task encodes documents
+into shards of about ``SHARD_BYTES`` of text, whose words have numbers of their own, in the order of
+a hash. The distinct words of a shard travel to buckets, ranges of that hash, which number them once
+for all shards; a bucket returns the numbers in the order it got the words. So only the distinct
+words of shards are shuffled, never word occurrences, packed by (bucket, shard); the number of
+buckets follows from the number of words, about ``BUCKET_WORDS`` to each.
 
 Row sums are the words of a document and the nonzero entries of its row its distinct words, which
 decide filters A and B. C and D follow from the characters; E compares SHA-256 of the whole text
@@ -13,7 +15,8 @@ and joins the 32 sets with fixed rules of the 120 orders.
 
 Hot groups: copies of one text meet their smallest doc_id by (text, doc_id), a key no two documents
 share, and rows alike in everything are counted before they are shuffled; labels are joined to
-counts per (doc_id, part, failed filters), so that a hot or null doc_id is few rows.
+counts per (doc_id, part, failed filters), so that a hot or null doc_id is few rows. A word of every
+document is one word a shard.
 
 Defined cases: a null text is an empty one, a null source the empty string; null doc_ids come after
 all others and have no label; rows that repeat a doc_id are documents of their own, and do not make
@@ -24,96 +27,224 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import blank_words, stage
-from affinia.plans.numbering import numbered
+from affinia.llm.common import stage
 
 FILTERS = "ABCDE"
-SHARD_CHARS = 4 << 20
-SHARD_ROWS = 100_000
+SHARD_BYTES = 16 << 20
+BUCKET_WORDS = 1 << 20
 #: Fixed limits of the filters.
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 200, 50, 2
-_NOT_UPPER = re.compile(r"[^A-Z]+")
-_SYMBOL = re.compile(r"[#$%&*|]")
+#: Fixed odd factor of the polynomial that spreads words over the buckets.
+FACTOR = 0x9E3779B97F4A7C15
 
-_SHARD = (
+_UPPER, _SYMBOL, _LATER, _BLANK = (np.zeros(256, bool) for _ in range(4))
+_UPPER[ord("A"):ord("Z") + 1] = True
+_SYMBOL[list(b"#$%&*|")] = True
+_BLANK[list(b" \t\n\v\f\r")] = True
+_LATER[0x80:0xC0] = True  # bytes of UTF-8 characters after their first
+
+_MATRIX = (
     "shard long, doc_ids array<long>, parts array<string>, marks array<int>, texts array<binary>, "
-    "starts array<long>, words array<{0}>, counts array<int>, vocabulary array<binary>"
+    "starts array<long>, words array<{0}>, counts array<int>"
 )
-
-
-def characters(text: str) -> int:
-    """The bits of filters C and D that the text fails."""
-    upper = len(_NOT_UPPER.sub("", text))
-    c = 100 * upper > UPPER_PERCENT * len(text)
-    return c << FILTERS.index("C") | bool(_SYMBOL.search(text)) << FILTERS.index("D")
-
-
-class _Shard:
-    """Documents on their way into one CSR shard, words numbered in the order they are met."""
-
-    def __init__(self):
-        self.vocabulary = defaultdict()
-        self.vocabulary.default_factory = self.vocabulary.__len__
-        self.documents, self.starts, self.words, self.counts, self.chars = [], [0], [], [], 0
-
-    def add(self, doc_id, part, text) -> None:
-        text = text or ""
-        held = Counter(blank_words(text))
-        self.words.append(np.fromiter(map(self.vocabulary.__getitem__, held), np.int32, len(held)))
-        self.counts.append(np.fromiter(held.values(), np.int32, len(held)))
-        self.starts.append(self.starts[-1] + len(held))
-        self.documents.append((doc_id, part or "", characters(text), hashlib.sha256(text.encode()).digest()))
-        self.chars += len(text)
-
-    def full(self) -> bool:
-        return self.chars >= SHARD_CHARS or len(self.documents) >= SHARD_ROWS
-
-    def row(self, number: int) -> list:
-        flat = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in (self.words, self.counts)]
-        return [number, *map(list, zip(*self.documents)), self.starts, *flat, list(self.vocabulary)]
+_MATRIX_NAMES = [c.split()[0] for c in _MATRIX.split(", ")]
+_LISTS = {
+    "doc_ids": pa.int64(), "parts": pa.string(), "marks": pa.int32(), "texts": pa.binary(),
+    "starts": pa.int64(), "words": pa.int32(), "counts": pa.int32(),
+}
+
+
+def _bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string or binary array, and where each of its values starts and ends."""
+    _, offsets, data = array.buffers()
+    ends = np.frombuffer(offsets, np.int32)[array.offset:array.offset + len(array) + 1].astype(np.int64)
+    held = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return held[ends[0]:ends[-1]], ends - ends[0]
+
+
+def marks(texts: pa.Array) -> np.ndarray:
+    """The bits of filters C and D that the texts fail."""
+    data, ends = _bytes(texts)
+
+    def count(kind: np.ndarray) -> np.ndarray:
+        return np.diff(np.searchsorted(np.flatnonzero(kind[data]), ends))
+
+    points = np.diff(ends) - count(_LATER)
+    c = 100 * count(_UPPER) > UPPER_PERCENT * points
+    d = count(_SYMBOL) > 0
+    return c.astype(np.int32) << FILTERS.index("C") | d.astype(np.int32) << FILTERS.index("D")
+
+
+def hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit number per word, to spread words evenly: a polynomial of its bytes, mixed."""
+    data, ends = _bytes(words)
+    powers = np.cumprod(np.full(len(data) + 1, FACTOR, np.uint64))
+    before = np.concatenate((np.zeros(1, np.uint64), np.cumsum(powers[:-1] * (data.astype(np.uint64) + np.uint64(1)))))
+    inverse = pow(FACTOR, -1, 1 << 64)
+    back = np.cumprod(np.full(len(data) + 1, inverse, np.uint64))
+    value = (before[ends[1:]] - before[ends[:-1]]) * back[ends[:-1]]
+    value ^= value >> np.uint64(31)
+    value *= np.uint64(0xBF58476D1CE4E5B9)
+    return value ^ value >> np.uint64(29)
+
+
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as one binary array, and the number of words of each text."""
+    data, ends = _bytes(texts)
+    inside = ~_BLANK[data]
+    # A byte begins (ends) a word if the one before (after) it is a blank or of another text.
+    begins, stops = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    stops[:-1] &= ~inside[1:]
+    full = ends[:-1] < ends[1:]
+    begins[ends[:-1][full]] = inside[ends[:-1][full]]
+    stops[ends[1:][full] - 1] = inside[ends[1:][full] - 1]
+    starts = np.flatnonzero(begins)
+    offsets = np.concatenate(([0], np.cumsum(np.flatnonzero(stops) + 1 - starts))).astype(np.int32)
+    array = pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+    )
+    return array, np.diff(np.searchsorted(starts, ends))
+
+
+def matrix(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """vocabulary (in the order of its hashes), starts, words, counts of the documents' matrix."""
+    flat, lengths = words(texts)
+    coded = flat.dictionary_encode()
+    order = np.argsort(hashes(coded.dictionary), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    size = max(1, len(order))
+    entries = np.repeat(np.arange(len(texts)), lengths) * size + place[coded.indices.to_numpy()]
+    entries, counts = np.unique(entries, return_counts=True)
+    starts = np.searchsorted(entries, np.arange(len(texts) + 1) * size)
+    return coded.dictionary.take(pa.array(order)), starts, (entries % size).astype(np.int32), counts.astype(np.int32)
+
+
+def _cut(lengths: np.ndarray, room: int) -> list[tuple[int, int]]:
+    """Spans of consecutive values of at most ``room`` bytes together, or one longer value."""
+    total, spans, start = np.cumsum(lengths), [], 0
+    while start < len(lengths):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + room, "right")))
+        spans.append((start, stop))
+        start = stop
+    return spans
 
 
 def _shards(docs: DataFrame) -> DataFrame:
-    """CSR shards whose word numbers are places in their own vocabulary."""
+    """CSR shards whose word numbers are places in their own vocabulary (joined by blanks)."""
     source = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("part"),
-        F.col("text").cast("string").alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    kinds = [
-        pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.binary()),
-        pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.binary()),
-    ]
-    names = [c.split()[0] for c in _SHARD.split(", ")]
+    room = SHARD_BYTES
+
+    def shard_of(number: int, held: pa.Table) -> pa.RecordBatch:
+        one = held.combine_chunks()
+        doc_ids, parts, texts = (one.column(c).combine_chunks() for c in ("doc_id", "part", "text"))
+        vocabulary, starts, numbers, counts = matrix(texts)
+        keys = [hashlib.sha256(t.as_buffer()).digest() for t in texts]
+        columns = [doc_ids, parts, marks(texts), keys, starts, numbers, counts]
+        lists = [
+            pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c, t))
+            for c, t in zip(columns, _LISTS.values())
+        ]
+        blob = b" ".join(vocabulary.to_pylist())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number]), *lists, pa.array([blob]), pa.array([len(vocabulary)], pa.int64())],
+            [*_MATRIX_NAMES, "vocabulary", "size"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        shard = _Shard()
+        held, size = [], 0
+        for batch in batches:
+            lengths = pc.binary_length(batch.column("text")).to_numpy()
+            for start, stop in _cut(lengths, room):
+                own = int(lengths[start:stop].sum())
+                if held and size + own > room:
+                    yield shard_of(number, pa.Table.from_batches(held))
+                    number, held, size = number + 1, [], 0
+                held.append(batch.slice(start, stop - start))
+                size += own
+        if size or sum(b.num_rows for b in held):
+            yield shard_of(number, pa.Table.from_batches(held))
+
+    return source.mapInArrow(run, f"{_MATRIX.format('int')}, vocabulary binary, size long")
+
 
-        def batch_of(shard: _Shard) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(shard.row(number), kinds)], names)
+def _bucketed(shards: DataFrame, buckets: int) -> DataFrame:
+    """The vocabulary of every shard cut into the buckets' ranges: bucket, shard, first, words."""
+    edges = np.array([k * (1 << 64) // buckets for k in range(buckets)], np.uint64)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, part, text in zip(*(c.to_pylist() for c in batch.columns)):
-                shard.add(doc_id, part, text)
-                if shard.full():
-                    yield batch_of(shard)
-                    number, shard = number + 1, _Shard()
-        if shard.documents:
-            yield batch_of(shard)
+            for number, blob in zip(batch.column("shard").to_pylist(), batch.column("vocabulary")):
+                words = pa.array(blob.as_py().split(b" "), pa.binary()) if blob.as_py() else pa.array([], pa.binary())
+                cuts = np.append(np.searchsorted(hashes(words), edges), len(words))
+                used = np.flatnonzero(np.diff(cuts))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(cuts[used], len(words)), pa.int32()), words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int64()), pa.array(np.full(len(used), number)), pa.array(cuts[used], pa.int64()),
+                     pc.binary_join(lists, b" ")],
+                    ["bucket", "shard", "first", "words"],
+                )
+
+    return shards.select("shard", "vocabulary").mapInArrow(
+        run, "bucket long, shard long, first long, words binary"
+    )
 
-    return source.mapInArrow(run, _SHARD.format("int"))
+
+def _numbered(bucket: pa.Table) -> pa.Table:
+    """One bucket: for each shard's words their ranks among the bucket's; and the words themselves."""
+    parts = [blob.split(b" ") for blob in bucket.column("words").to_pylist()]
+    coded = pa.array([w for part in parts for w in part], pa.binary()).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    ends = np.concatenate(([0], np.cumsum([len(part) for part in parts])))
+    ranks = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rank[coded.indices.to_numpy()]))
+    words = b" ".join(coded.dictionary.take(pa.array(order)).to_pylist())
+    number = bucket.column("bucket")[0].as_py()
+    n = len(parts)
+    return pa.table({
+        "bucket": pa.array([number] * (n + 1)),
+        "shard": pa.array([*bucket.column("shard").to_pylist(), None], pa.int64()),
+        "first": pa.array([*bucket.column("first").to_pylist(), None], pa.int64()),
+        "ranks": pa.concat_arrays([ranks, pa.array([None], pa.list_(pa.int32()))]),
+        "words": pa.array([None] * n + [words], pa.binary()),
+        "size": pa.array([None] * n + [len(order)], pa.int64()),
+    })
+
+
+def _renumbered(shards: pa.Table, numbers: pa.Table) -> pa.Table:
+    """One shard with global word numbers, from the pieces (first, base, ranks) of its vocabulary."""
+    pieces = [
+        (first, base + ranks.values.to_numpy().astype(np.int64))
+        for first, base, ranks in zip(
+            numbers.column("first").to_pylist(), numbers.column("base").to_pylist(), numbers.column("ranks")
+        )
+    ]
+    lookup = np.zeros(sum(len(p) for _, p in pieces), np.int64)
+    for first, piece in pieces:
+        lookup[first:first + len(piece)] = piece
+    words = shards.column("words").combine_chunks()
+    found = pa.ListArray.from_arrays(words.offsets, pa.array(lookup[words.flatten().to_numpy()]))
+    return pa.table([found if n == "words" else shards.column(n) for n in _MATRIX_NAMES], names=_MATRIX_NAMES)
 
 
 def document_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,30 +252,26 @@ def document_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A shard row holds doc_ids, parts, marks (failed bits of C and D) and text digests of its
     documents, and its matrix: document i has the words ``words[starts[i]:starts[i + 1]]`` with the
-    ``counts`` at the same places.
+    ``counts`` at the same places. Numbers are dense from 0, by bucket and then by word.
     """
     own = stage(_shards(docs), "shards")
-    places = own.select("shard", F.posexplode("vocabulary").alias("place", "word"))
-    dictionary = stage(numbered(places.select("word").distinct(), ["word"]), "dictionary")
-    numbers = (
-        places.join(dictionary, "word").groupBy("shard")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "number"))).alias("pairs"))
-        .select("shard", F.col("pairs.number").alias("numbers"))
+    entries = own.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    buckets = _bucketed(own, entries // BUCKET_WORDS + 1)
+    found = stage(buckets.groupBy("bucket").applyInArrow(
+        _numbered, "bucket long, shard long, first long, ranks array<int>, words binary, size long"
+    ), "numbers")
+    sizes = found.where("shard IS NULL").select("bucket", "size")
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stage(sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")), "bases")
+    pieces = found.where("shard IS NOT NULL").select("bucket", "shard", "first", "ranks").join(bases, "bucket")
+    shards = own.select(*_MATRIX_NAMES).groupBy("shard").cogroup(pieces.groupBy("shard")).applyInArrow(
+        _renumbered, _MATRIX.format("long")
     )
-    joined = own.drop("vocabulary").join(numbers, "shard", "left")
-    names = [c for c in own.columns if c != "vocabulary"]
-    schema = _SHARD.format("long").rsplit(",", 1)[0]
-
-    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):  # a shard at a time, for bounded memory
-                one = batch.slice(at, 1)
-                numbers = one.column("numbers").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                words = one.column("words").flatten().to_numpy(zero_copy_only=False)
-                found = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(numbers[words]))
-                yield pa.RecordBatch.from_arrays([found if n == "words" else one.column(n) for n in names], names)
-
-    return joined.mapInArrow(renumber, schema), dictionary
+    words = F.posexplode(F.split(F.col("words").cast("string"), " ")).alias("rank", "word")
+    dictionary = found.where("shard IS NULL").join(bases, "bucket").select("base", words).select(
+        "word", (F.col("base") + F.col("rank")).alias("number")
+    )
+    return shards, dictionary
 
 
 def _documents(shards: DataFrame) -> DataFrame:
