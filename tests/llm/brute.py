@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
+import math
 import re
 import zlib
 
@@ -160,3 +162,66 @@ def packing_faults(rows, ids, sequence=4096):
             if name == "document" and at != len(ids[key]) or name == "sequence" and at > sequence:
                 return f"{name} {key} ends at {at}"
     return "" if pieces.keys() == ids.keys() else "documents are missing"
+
+
+def lloyd(vectors, k=8, rounds=10, seed=3):
+    """vec_id, cluster, distance, cluster_inertia, inertia, sha of each usable (vec_id, vector) row."""
+    def usable(v):
+        return v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)
+
+    kept = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if i is not None and usable(v)]
+    kept = [(i, v) for i, v in kept if max(map(abs, v)) < 1 << 27]
+    centroids = [v for _, v in sorted(kept, key=lambda r: (sha(f"{seed}:{r[0]}"), r[1]))[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        groups = collections.defaultdict(list)
+        for _, v in kept:
+            groups[nearest(v)[1]].append(v)
+        for n, mine in groups.items():
+            centroids[n] = [sum(column) // len(mine) for column in zip(*mine)]
+    found = [(i, *nearest(v)[::-1]) for i, v in kept]
+    own = collections.Counter()
+    for _, n, d in found:
+        own[n] += d
+    return [(i, n, d, own[n], sum(own.values()), sha(",".join(map(str, centroids[n])))) for i, n, d in found]
+
+
+def filter_table(docs, labels):
+    """Rows of the filter audit, document by document and order by order; docs are (id, text, source)."""
+    large = float("inf")
+    first = {}
+    for doc, text, _ in docs:
+        first[text or ""] = min(large if doc is None else doc, first.get(text or "", large))
+    fails, marks = [], []
+    for doc, text, _ in docs:
+        text = text or ""
+        words = BLANK.findall(text)
+        fails.append({f for f, bad in {
+            "A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * sum(c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in text) > 2 * len(text),
+            "D": any(c in "#$%&*|" for c in text), "E": (large if doc is None else doc) > first[text],
+        }.items() if bad})
+        own = [(q, t) for i, q, t in labels if i is not None and i == doc]
+        marks.append((any(q == 1 for q, _ in own), any(t == 1 for _, t in own)))
+    out = {}
+    for part in {s or "" for *_, s in docs}:
+        mine = [k for k, (*_, s) in enumerate(docs) if (s or "") == part]
+        total = collections.Counter()
+        for order in itertools.permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [k for k in left if f in fails[k]]
+                total[f] += len(gone)
+                late = sum(f in fails[k] for k in mine) - len(gone)
+                left = [k for k in left if f not in fails[k]]
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), late, sum(fails[k] == {f} for k in mine),
+                    sum(marks[k][0] for k in gone), sum(marks[k][1] for k in gone), f,
+                ]
+        for key, row in out.items():
+            if key[0] == part:
+                row[-1] = total[row[-1]]
+    return [(*key, *row) for key, row in out.items()]
