@@ -40,12 +40,13 @@ from pyspark.sql import functions as F
 from affinia.llm.common import stage
 
 FILTERS = "ABCDE"
-SHARD_BYTES = 16 << 20
-BUCKET_WORDS = 1 << 20
+SHARD_BYTES = 8 << 20
+BUCKET_WORDS = 1 << 19
 #: Fixed limits of the filters.
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 200, 50, 2
 #: Fixed odd factor of the polynomial that spreads words over the buckets.
 FACTOR = 0x9E3779B97F4A7C15
+_AT_ONCE = 1 << 16
 
 _UPPER, _SYMBOL, _LATER, _BLANK = (np.zeros(256, bool) for _ in range(4))
 _UPPER[ord("A"):ord("Z") + 1] = True
@@ -87,11 +88,15 @@ def marks(texts: pa.Array) -> np.ndarray:
 
 def hashes(words: pa.Array) -> np.ndarray:
     """A 64-bit number per word, to spread words evenly: a polynomial of its bytes, mixed."""
+    parts = [_hashes(words.slice(at, _AT_ONCE)) for at in range(0, len(words), _AT_ONCE)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
     data, ends = _bytes(words)
     powers = np.cumprod(np.full(len(data) + 1, FACTOR, np.uint64))
     before = np.concatenate((np.zeros(1, np.uint64), np.cumsum(powers[:-1] * (data.astype(np.uint64) + np.uint64(1)))))
-    inverse = pow(FACTOR, -1, 1 << 64)
-    back = np.cumprod(np.full(len(data) + 1, inverse, np.uint64))
+    back = np.cumprod(np.full(len(data) + 1, pow(FACTOR, -1, 1 << 64), np.uint64))
     value = (before[ends[1:]] - before[ends[:-1]]) * back[ends[:-1]]
     value ^= value >> np.uint64(31)
     value *= np.uint64(0xBF58476D1CE4E5B9)
