@@ -94,6 +94,12 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _octet(part: str) -> bool:
+    """Whether digits are 255 at most; any number of zeros may come first."""
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or "0") <= 255
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches, found from each @ leftwards, so that long runs cost no more than once."""
     last, at = 0, text.find("@")
@@ -116,7 +122,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        if all(map(_octet, m[0].split("."))):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
@@ -135,11 +141,14 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     found = set()
     if any(mark in text for mark in "@[({"):
         for anchor in _ANCHOR.finditer(text):
-            begin = max(0, anchor.start() - 66)
-            for m in _AT.finditer(text, begin, min(len(text), anchor.end() + 700)):
-                if m.start() <= anchor.start() < m.end():
-                    found.add(("email", m.start(), m.end()))
-                    break
+            stop = anchor.start()
+            stop -= text[stop - 1:stop] == " "
+            start = stop
+            while start > max(0, stop - 64) and text[start - 1] in _LOCAL:
+                start -= 1
+            m = _AT.match(text, start, min(len(text), anchor.end() + 700)) if start < stop else None
+            if m:
+                found.add(("email", start, m.end()))
     for m in _DIGITS.finditer(text) if _DIGIT.search(text) else ():
         groups = [(g.start(), g.end()) for g in _GROUP.finditer(text, m.start(), m.end())]
         for i, (first, _) in enumerate(groups):

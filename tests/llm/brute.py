@@ -107,7 +107,7 @@ def personal(text):
             digits = re.sub("[^0-9]", "", m[0])
             if (
                 kind == "email"
-                or kind == "ip" and all(int(p) <= 255 for p in m[0].split("."))
+                or kind == "ip" and all(int(p.lstrip("0")[:4] or "0") <= 255 for p in m[0].split("."))
                 or kind == "card" and 13 <= len(digits) <= 19 and luhn(digits)
                 or kind == "phone" and 9 <= len(digits) <= 15
             ):

@@ -1,6 +1,7 @@
 """Numpy and text helpers against plain definitions."""
 
 import re
+import time
 import zlib
 
 import brute
@@ -96,11 +97,27 @@ def test_base_spans(text):
     assert pii.base_spans(text) == brute.personal(text)
 
 
+def test_addresses_with_very_many_zeros():
+    zeros = "0" * 5000
+    for text, inside in ((f"x {zeros}.1.2.3 y", True), (f"{zeros}1.{zeros}255.0.{zeros}", True), (f"1.2.{zeros}256.4", False)):
+        found = [s for s in pii.base_spans(text) if s[0] == "ip"]
+        assert bool(found) == inside and found == [s for s in brute.personal(text) if s[0] == "ip"]
+
+
 def test_base_spans_of_long_runs_are_fast():
     text = "a" * 200_000 + " " + "1" * 200_000 + " " + "+1" + "(" * 200_000 + "@" * 50_000
     assert pii.base_spans(text) == []
 
 
+def test_candidates_of_many_addresses_are_fast():
+    started = time.perf_counter()
+    found = pii.candidates("abcdefghij@" * 20_000)
+    assert time.perf_counter() - started < 5 and not found
+    text = "a.b@c.de@f.gh x@y [at] z.org, " + "l" * 80 + "@m.no"
+    spans = {text[a:b] for k, a, b in pii.candidates(text) if k == "email"}
+    assert spans == {"a.b@c.de", "c.de@f.gh", "y [at] z.org", "l" * 64 + "@m.no"}
+
+
 def test_candidates_are_wider_than_the_base():
     text = "write jo [at] ex [dot] org, card 4111/1111/1111/1111, tel (0541) 555 0101"
     kinds = {(k, text[a:b]) for k, a, b in pii.candidates(text)}
