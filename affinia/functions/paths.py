@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -58,31 +57,42 @@ def heaviest_edge(graph: Graph, nodes: Iterable[str]) -> tuple[float, str, str]
     return min(((-round(b / 2, DIGITS), u, v) for (u, v), b in total.items()), default=None)
 
 
-def removals(graph: Graph) -> Iterator[tuple[str, str, float, list[str] | None]]:
-    """(u, v, betweenness, part) edge by edge until none is left, from a connected graph.
+def peel(
+    alive: Graph, original: Graph, degree: dict[str, int], records: tuple, budget: int
+) -> tuple[list[tuple], list[tuple]]:
+    """Remove the top edge of a connected part, and so on in what is left of it, within ``budget``.
 
-    ``part`` is the side of ``u`` if the removal disconnects ``u`` from ``v``, else None. Only the
-    connected part that lost the edge is scored again.
+    Returns the removals (value, key, parent, child, cut, volumes) and the parts not yet peeled to
+    the end (nodes, key). ``value`` is (-betweenness, u, v). ``key`` orders removals as taking the
+    best edge of all parts each time would: those of the values on the way to a removal that no
+    later one exceeds. A removal that splits its part names the smallest nodes of both sides and
+    has ``cut`` (original edges between them) and the product of their volumes. A removal costs
+    nodes x edges of its part; the first is always done.
     """
-    left = {node: list(others) for node, others in graph.items()}
-    heads = []
-
-    def add(nodes: Iterable[str]) -> None:
-        nodes = sorted(nodes)
-        top = heaviest_edge(left, nodes)
-        if top:
-            heapq.heappush(heads, (top, nodes))
-
-    add(left)
-    while heads:
-        (negative, u, v), nodes = heapq.heappop(heads)
-        left[u].remove(v)
-        left[v].remove(u)
-        side = path_counts(left, u)[0]
+    removed, left = [], []
+    todo, spent = [(sorted(alive), records)], 0
+    while todo:
+        nodes, records = todo.pop()
+        cost = len(nodes) * sum(len(alive[n]) for n in nodes) // 2
+        if cost == 0:
+            continue
+        if spent and spent + cost > budget:
+            left.append((nodes, records))
+            continue
+        spent += cost
+        value = _, u, v = heaviest_edge(alive, nodes)
+        alive[u].remove(v)
+        alive[v].remove(u)
+        records = (*(r for r in records if r > value), value)
+        side = path_counts(alive, u)[0]
         if v in side:
-            yield u, v, -negative, None
-            add(nodes)
-        else:
-            yield u, v, -negative, sorted(side)
-            add(side)
-            add(set(nodes) - set(side))
+            removed.append((value, records, nodes[0], None, 0, 0))
+            todo.append((nodes, records))
+            continue
+        sides = sorted((sorted(side), sorted(set(nodes) - set(side))))
+        inner, outer = sorted((set(s) for s in sides), key=len)
+        cut = sum(other in outer for node in inner for other in original[node])
+        volumes = sum(degree[n] for n in inner) * sum(degree[n] for n in outer)
+        removed.append((value, records, sides[0][0], sides[1][0], cut, volumes))
+        todo += [(s, records) for s in sides]
+    return removed, left

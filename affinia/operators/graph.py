@@ -2,25 +2,29 @@
 
 Edges are rows (u, v) with u < v. Searches from all roots run per connected component: components
 of up to ``small`` edges are copied to groups of roots, each group one bounded task; larger ones
-expand their frontiers level by level as joins, with every level written out.
+expand packed frontiers (64 roots to a row) level by level as joins, with every level written out.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinia.functions.paths import flows, graph_of, path_counts
+from affinia.functions.paths import DIGITS, flows, graph_of, path_counts
 from affinia.operators.itemsets import baskets
 from affinia.operators.pairing import HOT, sharing_pairs
-from affinia.plans.staging import has_rows, stage
+from affinia.plans.numbering import numbered
+from affinia.plans.staging import has_rows, spent, stage
 
+ONE_TASK = 200_000
 SMALL_EDGES = 20_000
 TASK_STEPS = 2_000_000
 HUB = 20_000
+LANES = 64
 
 
 def coactivity_edges(
@@ -50,40 +54,91 @@ def degrees(edges: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """(node, component): every node with the smallest node it is connected to.
 
-    Each round a node takes the smallest label around it and then the label of that label, so
-    labels travel much further than one edge per round.
+    The graph is contracted round by round (``contracted``) until at most ``one_task`` edges are
+    left, which one task links; labels then go back through the rounds, whose tables shrink.
     """
-    adjacent = stage(both_directions(edges), "adjacent")
-    labels = adjacent.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("_least"))
-    labels = stage(labels.select("node", F.least("node", "_least").alias("component")), "labels")
-    while True:
-        around = (
-            adjacent.join(labels.withColumnRenamed("node", "dst"), "dst")
-            .groupBy(F.col("src").alias("node"))
-            .agg(F.min("component").alias("_around"))
+    edges = edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    left = stage(edges.where("a <> b"), "links")
+    rounds = []
+    while left.count() > one_task:
+        mapping, smaller = contracted(left, len(rounds))
+        rounds.append(mapping)
+        spent(left)
+        left = smaller
+    names = _linked(left)
+    if not rounds:
+        return names
+    for mapping in reversed(rounds):
+        names = stage(
+            mapping.join(names.withColumnRenamed("node", "onto"), "onto", "left")
+            .select("node", F.coalesce("component", "onto").alias("component")), "names",
         )
-        lower = labels.join(around, "node").select(
-            "node", F.col("component").alias("_before"),
-            F.least("component", "_around").alias("component"),
-        )
-        lower = stage(lower, "lower")
-        jump = lower.select(F.col("node").alias("component"), F.col("component").alias("_further"))
-        after = stage(lower.join(jump, "component").select(
-            "node", "_before", F.col("_further").alias("component")
-        ), "labels")
-        labels = after.select("node", "component")
-        if not has_rows(after.where("component <> _before")):
-            return labels
+    # Clusters have arbitrary names so far: their smallest node takes over.
+    least = names.groupBy("component").agg(F.min("node").alias("least"))
+    return names.join(least, "component").select("node", F.col("least").alias("component"))
+
+
+def contracted(links: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(node, onto) for every node of ``links`` (a, b), and the links between different ``onto``.
+
+    A node goes onto the node of smallest hash at most two steps away. Nodes that share one are
+    connected, and the link to it becomes a link between clusters, so components stay what they
+    are, while hubs collapse at once and paths shrink to about a third. The hash changes with the
+    round, so no order of the nodes is a bad one.
+    """
+    both = stage(links.union(links.select("b", "a")).distinct(), "both")
+
+    def ranked(node: str):
+        return F.struct(F.xxhash64(node, F.lit(seed)).alias("hash"), F.col(node).alias("onto"))
+
+    one = both.groupBy("a").agg(F.min(ranked("b")).alias("near")).select(
+        F.col("a").alias("b"), F.least("near", ranked("a")).alias("near")
+    )
+    mapping = stage(
+        both.join(one, "b").groupBy("a").agg(F.min("near").alias("near"))
+        .join(one.select(F.col("b").alias("a"), F.col("near").alias("own")), "a")
+        .select(F.col("a").alias("node"), F.least("near", "own")["onto"].alias("onto")), "onto",
+    )
+    smaller = (
+        links.join(mapping.select(F.col("node").alias("a"), F.col("onto").alias("_a")), "a")
+        .join(mapping.select(F.col("node").alias("b"), F.col("onto").alias("_b")), "b")
+        .where("_a <> _b")
+        .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
+    )
+    smaller = stage(smaller, "links")
+    spent(both)
+    return mapping, smaller
+
+
+def _linked(links: DataFrame) -> DataFrame:
+    """(node, component) for few links, in one task."""
+    node = links.schema["a"].dataType.simpleString()
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, flat = np.unique(pdf[["a", "b"]].to_numpy().ravel(), return_inverse=True)
+        a, b = flat.reshape(-1, 2).T
+        label = np.arange(len(names))
+        while True:
+            low = np.minimum(label[a], label[b])
+            after = label.copy()
+            for ends in (a, b, label[a], label[b]):
+                np.minimum.at(after, ends, low)
+            after = after[after]
+            if np.array_equal(after, label):
+                return pd.DataFrame({"node": names, "component": names[label]})
+            label = after
+
+    return links.groupBy(F.lit(0).alias("_all")).applyInPandas(link, f"node {node}, component {node}")
 
 
 def shortest_path_counts(
     edges: DataFrame, small: int = SMALL_EDGES, labels: DataFrame | None = None
 ) -> DataFrame:
     """(root, node, dist, sigma): distance and number of shortest paths for connected pairs."""
-    of_small, of_large = _by_size(edges, small, labels)
+    of_small, of_large = _by_size(_located(edges, labels), small)
 
     def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         graph = graph_of(zip(pdf["u"], pdf["v"]))
@@ -98,17 +153,20 @@ def shortest_path_counts(
     result = of_small.groupBy("component", "part").applyInPandas(search, schema)
     if of_large is None:
         return result
-    levels = _frontiers(of_large)
-    found = [f.withColumn("dist", F.lit(i)) for i, f in enumerate(levels)]
-    large = reduce(DataFrame.union, found).select("root", "node", "dist", "sigma")
-    return result.union(large)
+    return result.union(Frontier(of_large).path_counts())
 
 
 def edge_betweenness(
     edges: DataFrame, small: int = SMALL_EDGES, labels: DataFrame | None = None
 ) -> DataFrame:
     """(u, v, betweenness) of every edge, exact, highest first."""
-    of_small, of_large = _by_size(edges, small, labels)
+    scored = betweenness_of(_located(edges, labels), small)
+    return scored.orderBy(F.desc(F.round("betweenness", DIGITS)), "u", "v")
+
+
+def betweenness_of(located: DataFrame, small: int = SMALL_EDGES) -> DataFrame:
+    """(u, v, betweenness) of edges given with their component, n_nodes and n_edges."""
+    of_small, of_large = _by_size(located, small)
 
     def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         graph = graph_of(zip(pdf["u"], pdf["v"]))
@@ -118,14 +176,13 @@ def edge_betweenness(
         )
         return found.groupby(["u", "v"], as_index=False)["flow"].sum()
 
-    node = edges.schema["u"].dataType.simpleString()
+    node = located.schema["u"].dataType.simpleString()
     flow = of_small.groupBy("component", "part").applyInPandas(
         search, f"u {node}, v {node}, flow double"
     )
     if of_large is not None:
-        flow = flow.union(_frontier_flows(of_large))
-    total = flow.groupBy("u", "v").agg((F.sum("flow") / 2).alias("betweenness"))
-    return total.orderBy(F.desc(F.round("betweenness", 9)), "u", "v")
+        flow = flow.union(Frontier(of_large).flows())
+    return flow.groupBy("u", "v").agg((F.sum("flow") / 2).alias("betweenness"))
 
 
 def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -169,22 +226,24 @@ def component_sizes(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return nodes.join(own, "component")
 
 
-def _by_size(
-    edges: DataFrame, small: int, labels: DataFrame | None
-) -> tuple[DataFrame, DataFrame | None]:
-    """Edges of small components, copied to (component, part) groups; edges of the others."""
+def _located(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Edges with their component and its n_nodes and n_edges."""
     edges = edges.select("u", "v")
     labels = labels if labels is not None else components(edges)
-    sizes = stage(component_sizes(edges, labels), "sizes")
-    of = edges.join(labels.withColumnRenamed("node", "u"), "u").join(sizes, "component")
+    sizes = component_sizes(edges, labels)
+    located = edges.join(labels.withColumnRenamed("node", "u"), "u").join(sizes, "component")
+    return stage(located, "located")
+
+
+def _by_size(located: DataFrame, small: int) -> tuple[DataFrame, DataFrame | None]:
+    """Edges of small components, copied to (component, part) groups; edges of the others."""
     steps = F.col("n_nodes") * F.col("n_edges")
     parts = F.least(F.ceil(steps / TASK_STEPS), F.col("n_nodes")).cast("int")
-    of_small = of.where(F.col("n_edges") <= small).withColumn("parts", parts).select(
+    of_small = located.where(F.col("n_edges") <= small).withColumn("parts", parts).select(
         "component", "u", "v", "parts", F.explode(F.sequence(F.lit(1), "parts")).alias("part")
     )
-    if not has_rows(sizes.where(F.col("n_edges") > small)):
-        return of_small, None
-    return of_small, stage(of.where(F.col("n_edges") > small).select("u", "v"), "large")
+    large = located.where(F.col("n_edges") > small).select("u", "v")
+    return of_small, large if has_rows(large) else None
 
 
 def _roots(graph: dict, pdf: pd.DataFrame) -> list:
@@ -192,71 +251,118 @@ def _roots(graph: dict, pdf: pd.DataFrame) -> list:
     return list(graph)[int(pdf["part"].iloc[0]) - 1 :: int(pdf["parts"].iloc[0])]
 
 
-def _spread(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(src, dst, piece) and (node, pieces): the neighbours of hubs cut into pieces."""
-    adjacent = both_directions(edges)
-    pieces = degrees(edges).select("node", F.ceil(F.col("degree") / HUB).cast("int").alias("pieces"))
-    cut = adjacent.join(pieces.withColumnRenamed("node", "src"), "src").select(
-        "src", "dst", F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int").alias("piece")
-    )
-    return stage(cut, "adjacent"), stage(pieces.where("pieces > 1"), "hubs")
-
-
-def _step(frontier: DataFrame, spread: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """``frontier`` (root, node, …) joined with the neighbours of its nodes as ``dst``."""
-    adjacent, hubs = spread
-    last = F.coalesce(F.col("pieces"), F.lit(1)) - 1
-    copied = frontier.join(hubs, "node", "left").withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), last))
-    )
-    return copied.join(adjacent.withColumnRenamed("src", "node"), ["node", "piece"]).drop(
-        "piece", "pieces"
-    )
-
-
-def _frontiers(edges: DataFrame) -> list[DataFrame]:
-    """The levels of the searches from all roots: (root, node, sigma) each.
+class Frontier:
+    """Breadth-first searches from all nodes, ``LANES`` of them packed into a row.
 
-    A neighbour of level k lies on level k - 1, k or k + 1, so only two levels are excluded.
+    Nodes are numbered, and root ``LANES`` x batch + lane is a lane of its batch. A level is rows
+    (node, batch, reached, sigma): the bitmap of the lanes that reach the node at this level, and
+    for each lane the number of its shortest paths, 0 in the others. Every level is a join of the
+    one before it with the neighbours, written out; hubs' neighbours are cut into pieces.
     """
-    spread = _spread(edges)
-    node = degrees(edges).select(F.col("node").alias("root"))
-    levels = [stage(node.select("root", F.col("root").alias("node"), F.lit(1.0).alias("sigma")),
-                    "frontier")]
-    while True:
-        reached = _step(levels[-1], spread).groupBy("root", F.col("dst").alias("node")).agg(
-            F.sum("sigma").alias("sigma")
-        )
-        for known in levels[-2:]:
-            reached = reached.join(known.select("root", "node"), ["root", "node"], "left_anti")
-        reached = stage(reached, "frontier")
-        if not has_rows(reached):
-            return levels
-        levels.append(reached)
-
-
-def _frontier_flows(edges: DataFrame) -> DataFrame:
-    """(u, v, flow) summed over all roots, from the deepest level up."""
-    levels = _frontiers(edges)
-    spread = _spread(edges)
-    totals = []
-    received = None
-    for above, level in zip(levels[-2::-1], levels[:0:-1]):
-        credit = level.withColumn("received", F.lit(0.0)) if received is None else level.join(
-            received, ["root", "node"], "left"
-        )
-        share = (1 + F.coalesce("received", F.lit(0.0))) / F.col("sigma")
-        given = credit.select("root", "node", share.alias("share"))
-        parents = above.select("root", F.col("node").alias("dst"), "sigma")
-        flow = _step(given, spread).join(parents, ["root", "dst"]).select(
-            "root", "node", "dst", (F.col("share") * F.col("sigma")).alias("flow")
+
+    def __init__(self, edges: DataFrame):
+        adjacent = both_directions(edges)
+        counted = stage(degrees(edges), "degrees")
+        pieces = F.ceil(F.col("degree") / HUB).cast("int")
+        cut = adjacent.join(counted.withColumnRenamed("node", "src"), "src").select(
+            F.col("src").alias("node"), "dst",
+            F.pmod(F.xxhash64("dst"), pieces).cast("int").alias("piece"),
         )
-        flow = stage(flow, "flow")
-        received = flow.groupBy("root", F.col("dst").alias("node")).agg(
-            F.sum("flow").alias("received")
+        self.adjacent = stage(cut, "adjacent")
+        self.hubs = stage(counted.select("node", pieces.alias("pieces")).where("pieces > 1"), "hubs")
+        self.roots = stage(numbered(counted.select("node"), ["node"], "number").select(
+            "node", F.expr(f"number div {LANES}").alias("batch"),
+            (F.col("number") % LANES).cast("int").alias("lane"),
+        ), "roots")
+        self.levels = self._searched()
+
+    def _searched(self) -> list[DataFrame]:
+        """A neighbour of level k lies on level k - 1, k or k + 1, so only two are excluded."""
+        lanes = F.sequence(F.lit(0), F.lit(LANES - 1))
+        levels = [stage(self.roots.select(
+            "node", "batch", F.expr("shiftleft(1L, lane)").alias("reached"),
+            F.transform(lanes, lambda i: (i == F.col("lane")).cast("double")).alias("sigma"),
+        ), "frontier")]
+        while True:
+            met = self._step(levels[-1], "sigma").groupBy(F.col("dst").alias("node"), "batch").agg(
+                *_summed("sigma")
+            ).select("node", "batch", _lanes("sigma"))
+            known = F.lit(0).cast("long")
+            for i, level in enumerate(levels[-2:]):
+                before = level.select("node", "batch", F.col("reached").alias(f"known{i}"))
+                met = met.join(before, ["node", "batch"], "left")
+                known = known.bitwiseOR(F.coalesce(f"known{i}", F.lit(0).cast("long")))
+            fresh = F.transform(
+                "sigma", lambda s, i: F.when(_bit("known", i) == 0, s).otherwise(0.0)
+            )
+            met = met.withColumn("known", known).select("node", "batch", fresh.alias("sigma"))
+            bits = F.transform("sigma", lambda s, i: F.when(
+                s > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)
+            ).otherwise(F.lit(0).cast("long")))
+            reached = F.aggregate(bits, F.lit(0).cast("long"), lambda x, y: x.bitwiseOR(y))
+            level = stage(met.select("node", "batch", reached.alias("reached"), "sigma").where(
+                "reached <> 0"
+            ), "frontier")
+            if not has_rows(level):
+                return levels
+            levels.append(level)
+
+    def _step(self, rows: DataFrame, array: str) -> DataFrame:
+        """(node, batch, dst, ``array``): rows (node, batch, ``array``) with their neighbours."""
+        last = F.coalesce(F.col("pieces"), F.lit(1)) - 1
+        copied = rows.select("node", "batch", array).join(self.hubs, "node", "left").select(
+            "node", "batch", array, F.explode(F.sequence(F.lit(0), last)).alias("piece")
         )
-        totals.append(
-            flow.groupBy(F.least("node", "dst").alias("u"), F.greatest("node", "dst").alias("v"))
-            .agg(F.sum("flow").alias("flow"))
+        return copied.join(self.adjacent, ["node", "piece"]).select("node", "batch", "dst", array)
+
+    def path_counts(self) -> DataFrame:
+        """(root, node, dist, sigma) of all levels, one row per pair."""
+        found = []
+        for dist, level in enumerate(self.levels):
+            lanes = level.select("node", "batch", F.posexplode("sigma").alias("lane", "sigma"))
+            found.append(lanes.where("sigma > 0").withColumn("dist", F.lit(dist)))
+        roots = self.roots.withColumnRenamed("node", "root")
+        return reduce(DataFrame.union, found).join(roots, ["batch", "lane"]).select(
+            "root", "node", "dist", "sigma"
         )
-    return reduce(DataFrame.union, totals)
+
+    def flows(self) -> DataFrame:
+        """(u, v, flow) summed over all roots, from the deepest level up."""
+        totals, received = [], None
+        for above, level in zip(self.levels[-2::-1], self.levels[:0:-1]):
+            if received is None:
+                level = level.withColumn("received", F.lit(None).cast("array<double>"))
+            else:
+                level = level.join(received, ["node", "batch"], "left")
+            share = F.transform("sigma", lambda s, i: F.when(
+                s > 0, (1 + F.coalesce(F.get("received", i), F.lit(0.0))) / s
+            ).otherwise(0.0))
+            given = level.select("node", "batch", share.alias("share"))
+            parents = above.select(F.col("node").alias("dst"), "batch", "sigma")
+            flow = F.zip_with("share", "sigma", lambda a, b: a * b)
+            sent = self._step(given, "share").join(parents, ["dst", "batch"]).select(
+                "node", "dst", "batch", flow.alias("flow")
+            )
+            sent = stage(sent.where(F.exists("flow", lambda f: f > 0)), "flow")
+            received = stage(sent.groupBy(F.col("dst").alias("node"), "batch").agg(
+                *_summed("flow")
+            ).select("node", "batch", _lanes("received")), "received")
+            whole = F.aggregate("flow", F.lit(0.0), lambda x, y: x + y)
+            totals.append(
+                sent.groupBy(F.least("node", "dst").alias("u"), F.greatest("node", "dst").alias("v"))
+                .agg(F.sum(whole).alias("flow"))
+            )
+        return reduce(DataFrame.union, totals)
+
+
+def _bit(bitmap: str, i):
+    return F.call_function("shiftright", F.col(bitmap), i).bitwiseAND(F.lit(1).cast("long"))
+
+
+def _summed(array: str) -> list:
+    """The sums of an array column, place by place."""
+    return [F.sum(F.get(array, F.lit(i))).alias(f"_{i}") for i in range(LANES)]
+
+
+def _lanes(name: str):
+    return F.array(*[f"_{i}" for i in range(LANES)]).alias(name)

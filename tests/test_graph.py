@@ -1,9 +1,13 @@
+import heapq
+import random
 from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinia.operators import communities, graph
+from affinia.plans.staging import stage
 
 SEVEN = [("A", "B"), ("A", "C"), ("B", "C"), ("B", "D"), ("D", "E"), ("D", "F"), ("D", "G"),
          ("E", "F"), ("F", "G")]
@@ -107,6 +111,27 @@ def test_components_of_a_long_path(spark):
     assert set(labels.values()) == {"n000", "x"} and labels["n060"] == "n000"
 
 
+def test_contraction_shrinks_the_links_every_round(spark):
+    """A path in the order of its names, a hub, and a path with its names mixed up."""
+    n = 100_000
+    path = spark.range(n).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    hub = spark.range(n).select(F.lit(3 * n).alias("u"), (F.col("id") + 3 * n + 1).alias("v"))
+    mixed = spark.range(n).select(
+        (F.col("id") * 7919 % 100_003 + 10 * n).alias("u"), ((F.col("id") + 1) * 7919 % 100_003 + 10 * n).alias("v")
+    )
+    edges = stage(path.union(hub).union(mixed), "edges")
+    left, sizes = edges.select(F.col("u").alias("a"), F.col("v").alias("b")), [3 * n]
+    while sizes[-1] > 1000:
+        _, left = graph.contracted(left, len(sizes))
+        sizes.append(left.count())
+        assert sizes[-1] < 0.6 * sizes[-2]
+    assert len(sizes) <= 8
+    labels = graph.components(edges, one_task=1000)
+    least = [0, 3 * n, 10 * n]
+    assert sorted(map(tuple, labels.groupBy("component").count().collect())) == [(c, n + 1) for c in least]
+    assert labels.count() == 3 * n + 3
+
+
 def test_modularity_of_components(spark):
     edges = frame(spark, TWO_PARTS)
     row = graph.modularity(edges, graph.components(edges)).first()
@@ -118,14 +143,23 @@ def test_modularity_of_components(spark):
     assert row["modularity"] == pytest.approx(2 * row["modularity_half"] - squares)
 
 
-@pytest.mark.parametrize("edges, task_steps", [(TWO_PARTS, 10**9), (BOW, 20)])
+RING = [(f"r{i:02}", f"r{(i + 1) % 12:02}") for i in range(12)] + [("r00", "r05"), ("r02", "r09"), ("s1", "s2")]
+RING = [tuple(sorted(e)) for e in RING]
+
+
+@pytest.mark.parametrize("edges, task_steps", [
+    (TWO_PARTS, 10**9), (TWO_PARTS, 40), (BOW, 20), (BOW, 60), (RING, 200), (RING, 1000),
+])
 def test_communities_follow_the_definition(spark, edges, task_steps):
-    """In one task per component, and in rounds for the larger component of the bow."""
+    """In one group, in several rounds of one group, and with roots spread over groups."""
     answer, removed = brute_girvan_newman(edges)
     sequence = communities.gn_removal_sequence(frame(spark, edges), task_steps).collect()
     rows = sorted(sequence, key=lambda r: r["rank"])
     assert [r["rank"] for r in rows] == list(range(1, len(edges) + 1))
-    assert sorted(((r["u"], r["v"]), round(r["betweenness"], 9)) for r in rows) == sorted(removed)
+    assert [((r["u"], r["v"]), round(r["betweenness"], 9)) for r in rows] == removed
+    for component in {r["component"] for r in rows}:
+        steps = [r["step"] for r in rows if r["component"] == component]
+        assert steps == list(range(1, len(steps) + 1))
     assert grouped(communities.girvan_newman(frame(spark, edges), task_steps)) == answer
 
 
@@ -151,3 +185,104 @@ def test_edges_need_common_items_not_rows(spark, hot):
     assert [tuple(r) for r in edges] == [("a", "b", 2)]
     with pytest.raises(ValueError):
         graph.coactivity_edges(pairs, 0)
+
+
+def tree_removals(edges):
+    """(u, v, betweenness) in order, and the best partition, of a tree: an edge carries a x b paths."""
+    near = {}
+    for u, v in edges:
+        near.setdefault(u, set()).add(v)
+        near.setdefault(v, set()).add(u)
+    m, degree = len(edges), {n: len(o) for n, o in near.items()}
+
+    def top(root):
+        order, parent = [root], {root: None}
+        for node in order:
+            for other in near[node]:
+                if other != parent[node]:
+                    parent[other] = node
+                    order.append(other)
+        below = dict.fromkeys(order, 1)
+        for node in reversed(order[1:]):
+            below[parent[node]] += below[node]
+        scored = [
+            (-below[n] * (len(order) - below[n]), *sorted((n, parent[n]))) for n in order[1:]
+        ]
+        return min(scored, default=None), order
+
+    def add(root):
+        best, nodes = top(root)
+        if best:
+            heapq.heappush(heap, (*best, nodes))
+
+    heap, out, parts = [], [], {0: set(near)}
+    volume = {0: 2 * m}
+    where = dict.fromkeys(near, 0)
+    value = best_value = 0.0
+    answer = [frozenset(near)]
+    add(edges[0][0])
+    while heap:
+        b, u, v, nodes = heapq.heappop(heap)
+        out.append((u, v, -b))
+        near[u].remove(v)
+        near[v].remove(u)
+        side = set(top(u)[1])
+        old, new = where[u], len(parts)
+        parts[old] -= side
+        parts[new] = side
+        where.update(dict.fromkeys(side, new))
+        volume[new] = sum(degree[n] for n in side)
+        volume[old] -= volume[new]
+        value += (volume[new] * volume[old] / (2 * m) - 1) / (2 * m)
+        if value > best_value + 1e-12:
+            best_value, answer = value, [frozenset(p) for p in parts.values()]
+        add(u)
+        add(v)
+    return out, set(answer)
+
+
+def test_a_component_of_five_thousand_edges(spark):
+    """No group may take all of it: its first removals spread the roots, its parts go in parallel."""
+    rng = random.Random(6)
+    edges = [(f"n{rng.randrange(max(0, i - 40), i):05}", f"n{i:05}") for i in range(1, 5001)]
+    removed, answer = tree_removals(edges)
+    made = communities.gn_removals(frame(spark, edges)).orderBy("rank").collect()
+    assert [(r["u"], r["v"], r["betweenness"]) for r in made] == removed
+    assert grouped(communities.girvan_newman(frame(spark, edges))) == answer
+
+
+def test_best_cut_over_several_ranges(spark):
+    gains = [0.5, -0.1, 0.2, 0.0, -0.7, 0.7, 0.0, 0.1, -0.1]
+    splits = spark.createDataFrame([(2 * i + 1, g) for i, g in enumerate(gains)], "rank long, gain double")
+    for rows in (3, 100):
+        assert communities.best_cut(splits, rows) == 15
+    assert communities.best_cut(splits.where("rank = 3")) == 0
+    assert communities.best_cut(splits.limit(0)) == 0
+
+
+def test_partition_of_a_long_chain_of_splits(spark):
+    n = 3000
+    nodes = spark.range(n).select(F.col("id").alias("node"))
+    splits = spark.range(1, n).select(
+        F.col("id").alias("rank"), F.col("id").alias("child"), (F.col("id") - 1).alias("parent")
+    )
+    names = communities.partition_at(nodes, splits, 700)
+    sizes = {r["community_id"]: r["count"] for r in names.groupBy("community_id").count().collect()}
+    assert sizes == {i: n - 700 if i == 700 else 1 for i in range(701)}
+
+
+def test_packed_searches_of_a_large_component(spark):
+    """More than 20,000 edges: a row serves 64 roots, with the same result as in groups."""
+    rng = random.Random(8)
+    pairs = {tuple(sorted(rng.sample(range(420), 2))) for _ in range(30_000)}
+    pairs |= {(i, i + 1) for i in range(419, 440)}
+    edges = stage(spark.createDataFrame(sorted(pairs), "u long, v long"), "edges")
+    assert edges.count() > 20_000
+    packed = graph.edge_betweenness(edges)
+    plain = graph.edge_betweenness(edges, small=10**9)
+    both = packed.join(plain.withColumnRenamed("betweenness", "b"), ["u", "v"])
+    worst = both.agg(F.count("*"), F.max(F.abs(F.col("betweenness") - F.col("b")) / F.col("b"))).first()
+    assert worst[0] == edges.count() and worst[1] < 1e-9
+    levels = graph.Frontier(edges).levels
+    rows, nodes = sum(level.count() for level in levels), 441
+    assert rows <= len(levels) * nodes * (nodes // 64 + 1) and rows * 8 < nodes * nodes

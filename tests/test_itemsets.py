@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
-from affinia.operators import itemsets, pairing
+from affinia.operators import itemsets, pairing, vertical
 
 
 def make_rows(spark, baskets):
@@ -121,3 +121,71 @@ def test_blocks_give_every_pair_once(spark):
              pairing.block_pairs(rows, ["g"], "e", block=7).collect()]
     assert len(pairs) == len(set(pairs)) == 50 * 49 // 2 + 3
     assert all(a < b for _, a, b in pairs)
+
+
+def eclat(baskets, support):
+    """Itemsets by intersecting the baskets of items, depth first."""
+    holders = {}
+    for b, items in baskets.items():
+        for i in items:
+            holders.setdefault(i, set()).add(b)
+    out = {}
+
+    def extend(prefix, known):
+        for k, (item, held) in enumerate(known):
+            out[(*prefix, item)] = len(held)
+            more = [(other, held & theirs) for other, theirs in known[k + 1:]]
+            extend((*prefix, item), [(o, h) for o, h in more if len(h) >= support])
+
+    extend((), [(i, h) for i, h in sorted(holders.items()) if len(h) >= support])
+    return out
+
+
+def wide_baskets(seed, dense):
+    """Hundreds of items a basket, with groups of items that go together."""
+    rng = random.Random(seed)
+    names = [f"i{n:04}" for n in range(2500)]
+    made = {f"b{n:03}": set(rng.sample(names, rng.randint(200, 500))) for n in range(130)}
+    for g in range(12):
+        group = rng.sample(names, 4)
+        for b in rng.sample(sorted(made), 100 if dense else 40):
+            made[b] |= set(group)
+    return made
+
+
+@pytest.mark.parametrize("dense, support", [(False, 36), (True, 90)])
+def test_wide_baskets_from_the_side_of_the_items(spark, dense, support):
+    baskets = wide_baskets(3, dense)
+    expected = eclat(baskets, support)
+    assert max(map(len, expected)) >= 4
+    rows = make_rows(spark, baskets).repartition(4)
+    assert found(vertical.vertical_itemsets(rows, support)) == expected
+
+
+@pytest.mark.parametrize("support", [1, 3, 12])
+def test_both_sides_of_the_search_agree(spark, support):
+    """Few items in very many baskets: differences are shorter from the first levels on."""
+    rng = random.Random(support)
+    baskets = {f"b{n}": {i for i in "abcdefg" if rng.random() < 0.8} for n in range(150)}
+    expected = brute_force(baskets, support)
+    assert found(vertical.vertical_itemsets(make_rows(spark, baskets), support, hot=5)) == expected
+    short = {k: n for k, n in expected.items() if len(k) <= 3}
+    assert found(vertical.vertical_itemsets(make_rows(spark, baskets), support, max_size=3)) == short
+
+
+def test_differences_take_over_where_they_are_fewer(spark, monkeypatch):
+    used = []
+    for name in ("_by_words", "_by_differences"):
+        kept = getattr(vertical, name)
+        monkeypatch.setattr(vertical, name, lambda *a, n=name, f=kept: used.append(n) or f(*a))
+    baskets = {f"b{n}": set("abcde") if n % 9 else set("ab") for n in range(90)}
+    assert found(vertical.vertical_itemsets(make_rows(spark, baskets), 5)) == brute_force(baskets, 5)
+    assert set(used) == {"_by_differences"}
+
+
+def test_no_rows_and_null_rows_of_the_items_side(spark):
+    empty = spark.createDataFrame([], "basket string, item string")
+    assert vertical.vertical_itemsets(empty, 2).count() == 0
+    rows = [("x", "a"), ("x", "a"), ("y", "a"), (None, "a"), ("y", None), ("x", "b")]
+    made = vertical.vertical_itemsets(spark.createDataFrame(rows, "basket string, item string"), 2)
+    assert found(made) == {("a",): 2}
