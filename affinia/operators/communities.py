@@ -20,13 +20,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from affinia.functions.paths import DIGITS, graph_of, peel
+from affinia.functions.paths import DIGITS, peel
 from affinia.operators.graph import (
     SMALL_EDGES, TASK_STEPS, betweenness_of, component_sizes, components, degrees,
 )
@@ -193,35 +194,32 @@ def _peeled(state: DataFrame, n_edges: int, budget: int) -> DataFrame:
 def _peel_group(schema: pa.Schema, n_edges: int, budget: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        alive = graph_of((r["u"], r["v"]) for r in rows if r["alive"])
-        original = graph_of((r["u"], r["v"]) for r in rows)
-        degree = {r["u"]: r["du"] for r in rows} | {r["v"]: r["dv"] for r in rows}
+        both = sorted({(r["u"], r["du"]) for r in rows} | {(r["v"], r["dv"]) for r in rows})
+        names, degree = [n for n, _ in both], np.array([d for _, d in both])
+        number = {n: i for i, n in enumerate(names)}
+        u, v = (np.array([number[r[end]] for r in rows]) for end in ("u", "v"))
+        alive = np.array([r["alive"] for r in rows])
         records = tuple((k["b"], k["u"], k["v"]) for k in rows[0]["key"])
-        removed, left = peel(alive, original, degree, records, budget)
+        removed, left = peel(names, u, v, alive, degree, records, budget)
 
         def structs(key: tuple) -> list[dict]:
             return [{"b": b, "u": u, "v": v} for b, u, v in key]
 
         out = []
-        for (b, u, v), key, parent, child, cut, volumes in removed:
-            splits = child is not None
+        for (b, first, second), key, parent, child, cut, volumes in removed:
             out.append({
-                "component": rows[0]["component"], "removed": True, "u": u, "v": v,
-                "betweenness": -b, "key": structs(key), "parent": parent if splits else None,
-                "child": child, "gain": _gain(volumes, cut, n_edges) if splits else 0.0,
+                "component": rows[0]["component"], "removed": True, "u": first, "v": second,
+                "betweenness": -b, "key": structs(key), "parent": parent, "child": child,
+                "gain": 0.0 if child is None else _gain(volumes, cut, n_edges),
             })
-        part_of = {n: i for i, (nodes, _) in enumerate(left) for n in nodes}
-        sizes = [(len(nodes), sum(len(alive[n]) for n in nodes) // 2) for nodes, _ in left]
-        for r in rows:
-            i = part_of.get(r["u"])
-            if i is not None and part_of.get(r["v"]) == i:
-                (n, m), (nodes, key) = sizes[i], left[i]
-                out.append(r | {
-                    "part": nodes[0], "n": n, "m": m, "alive": r["v"] in alive[r["u"]],
-                    "key": structs(key), "removed": False,
-                })
-        names = {f.name: None for f in schema}
-        return pa.Table.from_pylist([names | r for r in out], schema=schema)
+        for nodes, live, inner, key in left:
+            present, shared = set(live.tolist()), structs(key)
+            out += [rows[i] | {
+                "part": names[nodes[0]], "n": len(nodes), "m": len(live), "alive": i in present,
+                "key": shared, "removed": False,
+            } for i in inner.tolist()]
+        blank = {f.name: None for f in schema}
+        return pa.Table.from_pylist([blank | r for r in out], schema=schema)
 
     return run
 

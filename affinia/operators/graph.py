@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinia.functions.paths import DIGITS, flows, graph_of, path_counts
+from affinia.functions.paths import DIGITS, Graph
 from affinia.operators.itemsets import baskets
 from affinia.operators.pairing import HOT, sharing_pairs
 from affinia.plans.numbering import numbered
@@ -141,12 +141,13 @@ def shortest_path_counts(
     of_small, of_large = _by_size(_located(edges, labels), small)
 
     def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        graph = graph_of(zip(pdf["u"], pdf["v"]))
-        out = []
-        for root in _roots(graph, pdf):
-            distance, paths, _ = path_counts(graph, root)
-            out += [(root, node, d, paths[node]) for node, d in distance.items()]
-        return pd.DataFrame(out, columns=["root", "node", "dist", "sigma"])
+        names, graph, roots = _graph_of(pdf)
+        distance, paths, _ = graph.search(roots)
+        near = np.flatnonzero(distance >= 0)
+        return pd.DataFrame({
+            "root": names[roots[near // graph.n]], "node": names[near % graph.n],
+            "dist": distance[near], "sigma": paths[near],
+        })
 
     node = edges.schema["u"].dataType.simpleString()
     schema = f"root {node}, node {node}, dist int, sigma double"
@@ -169,12 +170,8 @@ def betweenness_of(located: DataFrame, small: int = SMALL_EDGES) -> DataFrame:
     of_small, of_large = _by_size(located, small)
 
     def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        graph = graph_of(zip(pdf["u"], pdf["v"]))
-        found = pd.DataFrame(
-            [flow for root in _roots(graph, pdf) for flow in flows(graph, root)],
-            columns=["u", "v", "flow"],
-        )
-        return found.groupby(["u", "v"], as_index=False)["flow"].sum()
+        _, graph, roots = _graph_of(pdf)
+        return pd.DataFrame({"u": pdf["u"], "v": pdf["v"], "flow": graph.flows(roots)})
 
     node = located.schema["u"].dataType.simpleString()
     flow = of_small.groupBy("component", "part").applyInPandas(
@@ -246,9 +243,12 @@ def _by_size(located: DataFrame, small: int) -> tuple[DataFrame, DataFrame | Non
     return of_small, large if has_rows(large) else None
 
 
-def _roots(graph: dict, pdf: pd.DataFrame) -> list:
-    """The share of the component's nodes that belongs to this group."""
-    return list(graph)[int(pdf["part"].iloc[0]) - 1 :: int(pdf["parts"].iloc[0])]
+def _graph_of(pdf: pd.DataFrame) -> tuple[np.ndarray, Graph, np.ndarray]:
+    """Names of the nodes, the component, and the share of its nodes that are this group's roots."""
+    names, flat = np.unique(pdf[["u", "v"]].to_numpy().ravel(), return_inverse=True)
+    u, v = flat.reshape(-1, 2).T
+    roots = np.arange(len(names))[int(pdf["part"].iloc[0]) - 1 :: int(pdf["parts"].iloc[0])]
+    return names, Graph(len(names), u, v), roots
 
 
 class Frontier:

@@ -246,9 +246,12 @@ def test_a_component_of_five_thousand_edges(spark):
     rng = random.Random(6)
     edges = [(f"n{rng.randrange(max(0, i - 40), i):05}", f"n{i:05}") for i in range(1, 5001)]
     removed, answer = tree_removals(edges)
-    made = communities.gn_removals(frame(spark, edges)).orderBy("rank").collect()
-    assert [(r["u"], r["v"], r["betweenness"]) for r in made] == removed
-    assert grouped(communities.girvan_newman(frame(spark, edges))) == answer
+    made = stage(communities.gn_removals(frame(spark, edges)), "removals")
+    rows = made.orderBy("rank").collect()
+    assert [(r["u"], r["v"], r["betweenness"]) for r in rows] == removed
+    splits = made.where("child IS NOT NULL")
+    nodes = spark.createDataFrame([(n,) for n in sorted({n for e in edges for n in e})], "node string")
+    assert grouped(communities.partition_at(nodes, splits, communities.best_cut(splits))) == answer
 
 
 def test_best_cut_over_several_ranges(spark):
