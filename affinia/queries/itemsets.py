@@ -3,13 +3,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.operators import itemsets
+from affinia.operators import itemsets, vertical
 from affinia.plans import views
 
 SUPPORT = 5
 CHUNKS = 2
 PAIR_SUPPORT = 25
 MIN_ROWS = 4
+# Suppliers as baskets: hundreds of orders each, few baskets an order.
+ITEM_SUPPORT = 3
 
 
 def _joined(df: DataFrame) -> DataFrame:
@@ -36,6 +38,11 @@ def _apriori(spark: SparkSession, sf: str) -> DataFrame:
     return _joined(itemsets.apriori_candidates(pairs, 3).select("items"))
 
 
+def _by_supplier(spark: SparkSession, sf: str) -> DataFrame:
+    rows = itemsets.baskets(views.basket_pairs(spark, sf), by="item", item="basket")
+    return _joined(vertical.vertical_itemsets(rows, ITEM_SUPPORT))
+
+
 QUERIES = {
     "baskets_by_user": lambda spark, sf: itemsets.baskets(
         views.basket_pairs(spark, sf), by="basket", item="item"
@@ -56,6 +63,7 @@ QUERIES = {
     "son_frequent_active": lambda spark, sf: _joined(itemsets.son_frequent(
         itemsets.baskets(views.basket_pairs(spark, sf), min_rows=MIN_ROWS), SUPPORT, CHUNKS, _chunk()
     )),
+    "frequent_itemsets_by_item": _by_supplier,
     "frequent_itemsets": lambda spark, sf: _joined(
         itemsets.frequent_itemsets(_by_order(spark, sf), SUPPORT)
     ),
@@ -138,4 +146,24 @@ c AS MATERIALIZED (
     "son_frequent": _ALL_FREQUENT,
     "son_frequent_active": f"WITH {_ACTIVE}, {_LEVELS.format(s=SUPPORT)} {_UNION}",
     "frequent_itemsets": _ALL_FREQUENT,
+    "frequent_itemsets_by_item": f"""
+WITH RECURSIVE b AS MATERIALIZED (
+  SELECT DISTINCT l_suppkey AS basket, l_orderkey::VARCHAR AS item FROM lineitem
+  WHERE l_orderkey IN (
+    SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) >= {ITEM_SUPPORT})),
+pairs AS MATERIALIZED (
+  SELECT x.item AS one, y.item AS two FROM b x JOIN b y ON x.basket = y.basket AND x.item < y.item
+  GROUP BY 1, 2 HAVING count(*) >= {ITEM_SUPPORT}),
+found AS (
+  SELECT 2 AS size, one || ',' || two AS itemset, one AS prefix, two AS last, x.basket
+  FROM pairs JOIN b x ON x.item = one JOIN b y ON y.item = two AND x.basket = y.basket
+  UNION ALL
+  SELECT size, itemset, prefix, last, basket FROM (
+    SELECT x.size + 1 AS size, x.itemset || ',' || y.last AS itemset, x.itemset AS prefix,
+           y.last AS last, x.basket AS basket,
+           count(*) OVER (PARTITION BY x.itemset || ',' || y.last) AS n
+    FROM found x JOIN found y ON x.prefix = y.prefix AND x.basket = y.basket AND x.last < y.last)
+  WHERE n >= {ITEM_SUPPORT})
+SELECT 1 AS size, item AS itemset, count(*) AS freq FROM b GROUP BY 2
+UNION ALL SELECT size, itemset, count(*) FROM found GROUP BY 1, 2""",
 }
