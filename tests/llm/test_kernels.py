@@ -125,6 +125,24 @@ def test_candidates_are_wider_than_the_base():
     assert pii.redacted("a@b.c x 1.2.3.4", pii.base_spans("a@b.c x 1.2.3.4")) == "<EMAIL> x <IP>"
 
 
+def test_planted_values_and_formats_never_seen():
+    """Labels come from what was planted; thresholds hold for formats that training does not use."""
+    planter = pii.Planter(3)
+    for _ in range(300):
+        text, begin, end, true = planter.line("left ", " right", planter.rng.random() < 0.5)
+        assert text.startswith("left ") and text.endswith(" right") and begin == 5 and end == len(text) - 6
+        for kind, a, b in true:
+            assert kind in pii.KINDS and begin <= a < b <= end
+    places = [(f"{planter.word()} ", f" {planter.word()}") for _ in range(6000)]
+    x, y, _ = pii.labelled(places[:4000], 1, unseen=False)
+    model = trees.fit_boosted(x, y, rounds=40, depth=6)
+    x, y, base = pii.labelled(places[4000:5000], 2, unseen=True)
+    threshold = pii._threshold(model.probability(x[~base]), y[~base])
+    x, y, base = pii.labelled(places[5000:], 3, unseen=True)
+    accepted = model.probability(x) >= threshold
+    assert y[accepted & ~base].mean() > 0.97 and accepted[(y == 1) & ~base].mean() > 0.6
+
+
 def test_candidates_of_numbers_side_by_side():
     found = lambda text: {(k, text[a:b]) for k, a, b in pii.candidates(text)}
     for first, second in (("7536784127813050", "4845168114407329"), ("2353820953013749", "4550997810720808")):

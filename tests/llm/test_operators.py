@@ -111,10 +111,10 @@ def test_repeated_passages(docs, rows, chunk, bucket):
 
 
 def test_personal_data(docs, rows):
-    found = pii.find(docs, ["doc_id"]).select("row.doc_id", "result.base", "result.redacted").collect()
+    found = pii.find(docs, ["doc_id"], sample=3000).select("row.doc_id", "result.base", "result.redacted").collect()
     expected = [(d, [f"{k}:{a}:{b}" for k, a, b in brute.personal(t)]) for d, t in rows]
     assert bag((r.doc_id, r.base) for r in found) == bag(expected)
-    clean = pii.redact(docs)
+    clean = pii.redact(docs, sample=3000)
     assert clean.columns == docs.columns
     text = "mail <EMAIL> and <IP> or <PHONE>, card <CARD>"
     assert clean.where(F.col("text") == text).select("n_chars").first()[0] == len(text)
@@ -223,7 +223,7 @@ def test_empty_tables(spark, none):
     assert decontaminate.contamination(none, benchmark).isEmpty()
     assert simhash.near_duplicates(none).isEmpty() and simhash.keep_one(none).isEmpty()
     assert substrings.remove_repeats(none).isEmpty()
-    assert pii.redact(none).isEmpty() and licenses.scan(none).isEmpty()
+    assert pii.redact(none, sample=3000).isEmpty() and licenses.scan(none).isEmpty()
     assert packing.pack(none, VOCABULARY).isEmpty()
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).isEmpty()
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
