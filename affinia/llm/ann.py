@@ -4,13 +4,16 @@ A block of vectors keeps, for each of ``PROJECTIONS`` random directions, its pro
 array. A query opens a window around its own projection in every array; a vector collides once for
 each window it lies in, and one that collides at least ``NEEDED`` times is verified by its exact
 distance. The windows are ``WIDTH`` x radius to either side, and the radius grows by ``GROWTH`` from
-round to round (virtual rehashing: the arrays stay as they are, only the ends of the windows move)
-until ``k`` verified vectors lie within the radius, or the whole block is verified. A vector within the radius is within
-a window with probability 0.77, so it is missed with a probability below one in a thousand.
+round to round (virtual rehashing: the arrays stay as they are, only the ends of the windows move,
+and only what enters a window is counted) until ``k`` verified vectors lie within the radius, or the
+whole block is verified. A vector at the radius is within a window with probability 0.77, so it has
+fewer than ``NEEDED`` of 256 collisions with a probability of about 0.1, and a nearer one with less;
+of vectors at 1.2 times the radius about one in twenty is verified, at 1.4 times hardly any.
 
-Every query meets every block of vectors: queries and vectors are both dealt into blocks of bounded
-size, a task holds one block of each, and returns ``k`` rows a query; the best of them follow by a
-ranking per query. The projections are a fixed function of dimension and seed: nothing is fitted.
+Vectors are shuffled once, into blocks, whose arrays are built once; the queries are sent to every
+block and stream past it in batches, so a task holds a block and a batch, however many queries there
+are. A block returns ``k`` rows a query; the best of them follow by a ranking per query. The
+projections are a fixed function of dimension and seed: nothing is fitted.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
 part; vectors are compared with those of the same dimension; rows without a vec_id take no part;
@@ -20,6 +23,8 @@ vec_id; fewer than ``k`` candidates give all of them; empty tables give no rows;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,12 +33,11 @@ from pyspark.sql.window import Window
 
 from affinia.llm.common import stage
 
-PROJECTIONS = 64
+PROJECTIONS = 256
 WIDTH = 1.2
-NEEDED = 40
-GROWTH = 1.1
-VECTORS = 8192
-QUERIES = 2048
+NEEDED = 188
+GROWTH = 1.04
+VECTORS = 4096
 SEED = 20_240_229
 
 _FOUND = "query_id long, vec_id long, score double"
@@ -52,29 +56,29 @@ class Block:
         self.direction = directions(vectors.shape[1])
         projected = (vectors @ self.direction).T
         self.order = np.argsort(projected, axis=1, kind="stable")
-        self.sorted = np.take_along_axis(projected, self.order, axis=1)
-        # A first radius: the usual distance at which k of the block's vectors may be met.
-        sample = vectors[:: max(1, len(vectors) // 16)][:16]
+        # One array for all directions, each lifted above the one before it, so that the ends of all
+        # windows are found at once.
+        self.lift = (4 + 4 * float(np.abs(projected).max())) * np.arange(len(projected))
+        self.sorted = (np.take_along_axis(projected, self.order, axis=1) + self.lift[:, None]).ravel()
+        self.order = self.order.ravel()
+        # A first radius: most of the usual distance within which k of the block's vectors lie.
+        sample = vectors[:: max(1, len(vectors) // 32)][:32]
         tenth = min(10, len(vectors) - 1)
         near = np.array([np.partition(self.distance(v, slice(None)), tenth)[tenth] for v in sample])
-        self.radius = 0.6 * float(np.median(near[near > 0])) if (near > 0).any() else 1e-9
+        self.radius = 0.85 * float(np.median(near[near > 0])) if (near > 0).any() else 1e-9
+        self.verified = 0
 
     def distance(self, query: np.ndarray, rows) -> np.ndarray:
         return np.sqrt(((self.vectors[rows] - query) ** 2).sum(axis=1))
 
-    def _next(self, centre: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
-        """The radius at which a window meets its next projection."""
-        gaps = [
-            gap for s, c, a, b in zip(self.sorted, centre, low, high)
-            for gap in ((c - s[a - 1],) if a else ()) + ((s[b] - c,) if b < len(s) else ())
-        ]
-        return float(min(gaps)) / WIDTH * 1.0001
-
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """ids and distances of the k nearest found, the query's own row left out."""
-        n, m = len(self.ids), len(self.sorted)
+        n, m = len(self.ids), len(self.lift)
         centre = query @ self.direction
-        count = np.zeros(n, np.int16)
+        edge = np.arange(m) * n
+        # A query from another block may lie outside the block's range.
+        reach = (self.lift[1] if m > 1 else 1.0) / 2 - 1
+        count = np.zeros(n, np.int64)
         verified = np.zeros(n, bool)
         low = high = None
         rows, dist = np.zeros(0, np.int64), np.zeros(0)
@@ -82,53 +86,73 @@ class Block:
         radius = self.radius
         while True:
             half = WIDTH * radius
-            new_low = np.array([np.searchsorted(s, c - half, "left") for s, c in zip(self.sorted, centre)])
-            new_high = np.array([np.searchsorted(s, c + half, "right") for s, c in zip(self.sorted, centre)])
-            met = []
-            for i in range(m):
-                if low is None:
-                    met.append(self.order[i, new_low[i]:new_high[i]])
-                else:
-                    met += [self.order[i, new_low[i]:low[i]], self.order[i, high[i]:new_high[i]]]
-            met = np.concatenate(met)
-            count += np.bincount(met, minlength=n).astype(np.int16)
-            low, high = new_low, new_high
-            fresh = np.flatnonzero((count >= NEEDED) & ~verified)
-            verified[fresh] = True
-            fresh = fresh[~own[fresh]]
-            rows = np.concatenate((rows, fresh))
-            dist = np.concatenate((dist, self.distance(query, fresh)))
+            new_low = np.searchsorted(self.sorted, np.clip(centre - half, -reach, reach) + self.lift, "left")
+            new_high = np.searchsorted(self.sorted, np.clip(centre + half, -reach, reach) + self.lift, "right")
+            if low is None:
+                low = high = new_low
+            parts = [self.order[a:b] for a, b in zip(new_low.tolist(), low.tolist()) if a < b]
+            parts += [self.order[a:b] for a, b in zip(high.tolist(), new_high.tolist()) if a < b]
+            low, high = np.minimum(low, new_low), np.maximum(high, new_high)
+            if parts:
+                met = np.concatenate(parts)
+                count += np.bincount(met, minlength=n)
+                fresh = np.flatnonzero((count >= min(NEEDED, m)) & ~verified)
+                verified[fresh] = True
+                fresh = fresh[~own[fresh]]
+                rows = np.concatenate((rows, fresh))
+                dist = np.concatenate((dist, self.distance(query, fresh)))
             if np.count_nonzero(dist <= radius) >= k or verified.all():
                 break
-            radius = radius * GROWTH if len(met) else max(radius * GROWTH, self._next(centre, low, high))
+            # Windows that took in nothing open up to the next projection.
+            radius = radius * GROWTH if parts else max(radius * GROWTH, self._next(centre, low - edge, high - edge))
+        self.verified += len(rows)
         best = np.lexsort((self.ids[rows], dist))[:k]
         return self.ids[rows[best]], dist[best]
 
-
-def _block_search(k: int):
-    def search(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-        out = [], [], []
-        if queries.num_rows and vectors.num_rows:
-            block = Block(*_arrays(vectors))
-            for query_id, query in zip(*_arrays(queries)):
-                ids, dist = block.search(query_id, query, k)
-                out[0].append(np.full(len(ids), query_id))
-                out[1].append(ids)
-                out[2].append(dist)
-        columns = [np.concatenate(c) if c else np.zeros(0) for c in out]
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
-        return pa.table(
-            [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, kinds)],
-            ["query_id", "vec_id", "score"],
-        )
-
-    return search
-
-
-def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    column = table.column("vector").combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return table.column("id").to_numpy(), flat.reshape(table.num_rows, -1)
+    def _next(self, centre: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
+        """The radius at which a window meets its next projection."""
+        n, gaps = len(self.ids), []
+        for i, (a, b) in enumerate(zip(low.tolist(), high.tolist())):
+            own = self.sorted[i * n:(i + 1) * n] - self.lift[i]
+            gaps += [centre[i] - own[a - 1]] if a else []
+            gaps += [own[b] - centre[i]] if b < n else []
+        return float(min(gaps)) / WIDTH * 1.0001 + 1e-9
+
+
+def _answered(k: int):
+    """A function of rows in the order (dim, block, role, id): each block's vectors, then queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, vectors, block = None, [], [], None
+        for batch in batches:
+            dim, number, role = (batch.column(c).to_numpy() for c in ("dim", "block", "role"))
+            cuts = np.flatnonzero((np.diff(dim) != 0) | (np.diff(number) != 0) | (np.diff(role) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if key != (dim[a], number[a]):
+                    key, ids, vectors, block = (dim[a], number[a]), [], [], None
+                own, values = _arrays(part, int(dim[a]))
+                if role[a] == 0:
+                    ids.append(own)
+                    vectors.append(values)
+                elif ids:
+                    block = block or Block(np.concatenate(ids), np.concatenate(vectors))
+                    found = [block.search(q, v, k) for q, v in zip(own.tolist(), values)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(own, [len(i) for i, _ in found])),
+                         pa.array(np.concatenate([i for i, _ in found]).astype(np.int64)),
+                         pa.array(np.concatenate([d for _, d in found]))],
+                        ["query_id", "vec_id", "score"],
+                    )
+
+    return run
+
+
+def _arrays(batch: pa.RecordBatch, dimension: int) -> tuple[np.ndarray, np.ndarray]:
+    flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
+    return batch.column("id").to_numpy(), flat.reshape(batch.num_rows, dimension)
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -145,27 +169,21 @@ def usable(embeddings: DataFrame) -> DataFrame:
     )
 
 
-def nearest(
-    embeddings: DataFrame, every: int = 100, k: int = 10, vectors: int = VECTORS, queries: int = QUERIES
-) -> DataFrame:
+def nearest(embeddings: DataFrame, every: int = 100, k: int = 10, vectors: int = VECTORS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each vector whose id divides by ``every``."""
     held = stage(usable(embeddings), "vectors")
-    is_query = F.col("id") % every == 0
-    n, asked = held.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
-    vector_blocks, query_blocks = -(-n // vectors) or 1, -(-asked // queries) or 1
-
-    def blocks(column, count):
-        return F.pmod(F.xxhash64("id"), F.lit(count)).alias(column)
-
-    def all_of(column, count):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))).alias(column)
-
-    asking = held.where(is_query).select(
-        "id", "vector", "dim", blocks("qb", query_blocks), all_of("vb", vector_blocks)
+    blocks = -(-held.count() // vectors) or 1
+    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long")
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    columns = ["dim", "block", "role", "id", "vector"]
+    rows = held.select("*", own.alias("block"), F.lit(0).alias("role")).select(*columns).union(
+        held.where(F.col("id") % every == 0)
+        .select("*", every_block.alias("block"), F.lit(1).alias("role")).select(*columns)
+    )
+    tasks = max(held.sparkSession.sparkContext.defaultParallelism, 2 * blocks)
+    found = rows.repartition(tasks, "dim", "block").sortWithinPartitions(*columns[:-1]).mapInArrow(
+        _answered(k), _FOUND
     )
-    asked_of = held.select("id", "vector", "dim", blocks("vb", vector_blocks), all_of("qb", query_blocks))
-    keys = ["dim", "qb", "vb"]
-    found = asking.groupBy(*keys).cogroup(asked_of.groupBy(*keys)).applyInArrow(_block_search(k), _FOUND)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -130,7 +130,7 @@ def test_planted_values_and_formats_never_seen():
     planter = pii.Planter(3)
     for _ in range(300):
         text, begin, end, true = planter.line("left ", " right", planter.rng.random() < 0.5)
-        assert text.startswith("left ") and text.endswith(" right") and begin == 5 and end == len(text) - 6
+        assert text.startswith("left ") and text.endswith(" right") and begin == 5 and 6 <= len(text) - end <= 7
         for kind, a, b in true:
             assert kind in pii.KINDS and begin <= a < b <= end
     places = [(f"{planter.word()} ", f" {planter.word()}") for _ in range(6000)]
