@@ -3,25 +3,28 @@
 An *active* entity is one with a rating to predict, a *neighbour* one that rated the target.
 Columns here: ``e`` active entity, ``v`` neighbour, ``f`` feature, ``x`` and ``y`` their ratings.
 
-The number of (active, neighbour, common feature) rows far exceeds the input, so the plan avoids
-moving them: entities are hashed into B blocks and ratings are copied to the B block pairs they
-belong to; joins and aggregates over pairs of entities then run inside one block pair without a
-further shuffle. B follows from measured counts, so that a block pair stays near ``PAIR_ROWS`` rows
-and the copies never outnumber the pairs they save moving.
-
-Features rated by more than ``hot`` entities are not paired at all; the pairs needed anyway look up
-their ratings of such a feature. Entities with more than ``hot_entity`` ratings would fill whole
-blocks alone; their pairs are joined on the feature instead, reduced before they move.
+The number of (active, neighbour, common feature) rows far exceeds the input, so no such row is
+ever moved: entities are hashed into B blocks and ratings are copied to the B block pairs they
+belong to, each of which is one bounded group that works on its ratings as sorted arrays and returns
+sums. B follows from measured counts, so that a block pair stays near ``PAIR_ROWS`` rows and the
+copies never outnumber the pairs they save moving. A feature rated by very many entities is dealt
+to the whole grid like any other; inside a group it is paired as an outer product where that is the
+smaller, and looked up for the pairs that are needed where these are fewer.
+
+Entities with more than ``hot_entity`` ratings would fill whole blocks alone; their pairs are joined
+on the feature instead, reduced before they move, the other side dealt out so that no feature is
+one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from functools import reduce
 from math import isqrt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.plans.staging import facts, has_rows, stage
@@ -29,8 +32,10 @@ from affinia.plans.staging import facts, has_rows, stage
 PAIR_ROWS = 1_000_000
 HOT = 20_000
 HOT_ENTITY = 1_000_000
-MAX_BLOCKS = 1000
 FLAT_WEIGHT = 0.1
+#: Rows that a group expands at a time, and cells up to which it finds pairs by a table.
+AT_ONCE = 1 << 20
+CELLS = 1 << 22
 
 
 class Neighbourhood:
@@ -61,100 +66,235 @@ class Neighbourhood:
         degree = ratings.groupBy("e").agg(F.count("*").alias("_n"))
         self.hot_entities = degree.where(F.col("_n") > hot_entity).select("e")
         self.any_hot_entity = has_rows(self.hot_entities)
-        self.hot_features = raters.where(F.col("raters") > hot).select("f")
-        self.any_hot_feature = known["most"] > hot
+        self.salts = int(known["most"]) // hot + 1
         worthwhile = int(known["pairs"] / max(known["rows"], 1.0))
         busy = isqrt(4 * self.spark.sparkContext.defaultParallelism)
         wished = max(busy, isqrt(int(known["pairs"]) // pair_rows) + 1)
-        self.blocks = max(1, min(wished, worthwhile, MAX_BLOCKS))
+        self.blocks = max(1, min(wished, worthwhile))
 
     def pairs(self) -> DataFrame:
         """(e, v, n, mean, w) for every active entity and neighbour with a common feature."""
-        parts = [p.select("e", "v", "n", "mean", "w") for _, p in self._parts()]
-        return _staged(self.spark, reduce(DataFrame.union, parts), "similarity")
+        active, neighbours, targets = self._ordinary()
+        parts = [self._in_blocks(active, neighbours, targets, _pairs_of)]
+        parts += [p.select("e", "v", "n", "mean", "w") for _, p in self._of_hot_entities()]
+        return stage(reduce(DataFrame.union, parts), "similarity")
 
     def sums(self) -> DataFrame:
         """(e, f, above, weight): Σ w·(rating − mean) and Σ |w| for every target."""
-        parts = [
-            wanted.join(pairs, [c for c in pairs.columns if c in ("block", "e", "v")])
-            .groupBy("e", "f")
-            .agg(
+        parts = [self._in_blocks(*self._ordinary(), _sums_of)] + [
+            wanted.join(pairs, ["salt", "e", "v"]).groupBy("e", "f").agg(
                 F.sum(F.col("w") * (F.col("y") - F.col("mean"))).alias("above"),
                 F.sum(F.abs("w")).alias("weight"),
             )
-            for wanted, pairs in self._parts()
+            for wanted, pairs in self._of_hot_entities()
         ]
-        if len(parts) == 1:
-            return _staged(self.spark, parts[0], "sums")
-        return _staged(
-            self.spark,
-            reduce(DataFrame.union, parts)
-            .groupBy("e", "f")
-            .agg(F.sum("above").alias("above"), F.sum("weight").alias("weight")),
-            "sums",
+        return stage(
+            reduce(DataFrame.union, parts).groupBy("e", "f")
+            .agg(F.sum("above").alias("above"), F.sum("weight").alias("weight")), "sums",
         )
 
-    def _parts(self) -> list[tuple[DataFrame, DataFrame]]:
+    def _sides(self) -> tuple[DataFrame, DataFrame]:
         active = self.ratings.join(self.targets.select("e").distinct(), "e", "left_semi")
-        neighbours = self.ratings.withColumnsRenamed({"e": "v", "x": "y"})
+        return active, self.ratings.withColumnsRenamed({"e": "v", "x": "y"})
+
+    def _ordinary(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Ratings of active entities, of neighbours, and targets, without hot entities."""
+        active, neighbours = self._sides()
+        if not self.any_hot_entity:
+            return active, neighbours, self.targets
+        hot = self.hot_entities
+        return (
+            active.join(hot, "e", "left_anti"),
+            neighbours.join(hot.withColumnRenamed("e", "v"), "v", "left_anti"),
+            self.targets.join(hot, "e", "left_anti"),
+        )
+
+    def _of_hot_entities(self) -> list[tuple[DataFrame, DataFrame]]:
+        """(target, neighbour) rows and pairs with a hot entity on either side.
+
+        The side that is not hot is dealt out by its entity, the other copied to all salts.
+        """
         if not self.any_hot_entity:
-            return [self._blocked(active, neighbours, self.targets)]
+            return []
+        active, neighbours = self._sides()
         hot = self.hot_entities
-        hot_v = hot.withColumnRenamed("e", "v")
+        own = active.join(hot, "e", "left_semi"), self.targets.join(hot, "e", "left_semi")
+        others = active.join(hot, "e", "left_anti"), self.targets.join(hot, "e", "left_anti")
+        theirs = neighbours.join(hot.withColumnRenamed("e", "v"), "v", "left_semi")
+
+        def dealt(df: DataFrame, by: str) -> DataFrame:
+            return df.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(self.salts)).cast("int"))
+
+        def copied(df: DataFrame) -> DataFrame:
+            return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
+
         return [
-            self._blocked(
-                active.join(hot, "e", "left_anti"), neighbours.join(hot_v, "v", "left_anti"),
-                self.targets.join(hot, "e", "left_anti"),
-            ),
-            self._matched(
-                active.join(hot, "e", "left_semi"), neighbours,
-                self.targets.join(hot, "e", "left_semi"), [],
-            ),
-            self._matched(
-                active.join(hot, "e", "left_anti"), neighbours.join(hot_v, "v", "left_semi"),
-                self.targets.join(hot, "e", "left_anti"), [],
-            ),
+            _matched(copied(own[0]), dealt(neighbours, "v"), copied(own[1])),
+            _matched(dealt(others[0], "e"), copied(theirs), dealt(others[1], "e")),
         ]
 
-    def _blocked(
-        self, active: DataFrame, neighbours: DataFrame, targets: DataFrame
-    ) -> tuple[DataFrame, DataFrame]:
+    def _in_blocks(
+        self, active: DataFrame, neighbours: DataFrame, targets: DataFrame, answer: Callable
+    ) -> DataFrame:
+        """What ``answer`` says about every block pair."""
         blocks = self.blocks
         every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-        def placed(df: DataFrame, row: Column, column: Column) -> DataFrame:
-            """``df`` copied to the block pairs of its entity, one partition per block pair."""
-            rows = df.select("*", row.alias("_row")).select("*", column.alias("_column"))
-            block = F.col("_row") * blocks + F.col("_column")
-            return rows.select(*df.columns, block.alias("block")).repartition(blocks**2, "block")
-
-        def own(entity: str) -> Column:
-            return F.pmod(F.xxhash64(entity), F.lit(blocks)).cast("int")
+        def placed(df: DataFrame, role: int, entity: str, rating: Column) -> DataFrame:
+            """``df`` copied to the block pairs of its entity."""
+            own = F.pmod(F.xxhash64(entity), F.lit(blocks)).cast("long")
+            rows = df.select(
+                F.col(entity).alias("id"), "f", rating.cast("double").alias("x"), own.alias("own"),
+                every.alias("other"),
+            )
+            line, column = ("other", "own") if role == _NEIGHBOUR else ("own", "other")
+            return rows.select(
+                (F.col(line) * blocks + F.col(column)).alias("block"), F.lit(role).alias("role"),
+                "id", "f", "x",
+            )
 
-        return self._matched(
-            placed(active, own("e"), every), placed(neighbours, every, own("v")),
-            placed(targets, own("e"), every), ["block"],
+        rows = placed(active, _ACTIVE, "e", F.col("x")).union(
+            placed(neighbours, _NEIGHBOUR, "v", F.col("y"))
+        ).union(placed(targets, _TARGET, "e", F.lit(None)))
+        kinds = {k: self.ratings.schema[k].dataType.simpleString() for k in ("e", "f")}
+        return rows.groupBy("block").applyInArrow(
+            lambda table: answer(_Group(table)),
+            f"e {kinds['e']}, v {kinds['e']}, n long, mean double, w double" if answer is _pairs_of
+            else f"e {kinds['e']}, f {kinds['f']}, above double, weight double",
         )
 
-    def _matched(
-        self, active: DataFrame, neighbours: DataFrame, targets: DataFrame, keys: list[str]
-    ) -> tuple[DataFrame, DataFrame]:
-        """The (target, neighbour) rows and the similarity of the pairs in them."""
-        pair = [*keys, "e", "v"]
-        wanted = targets.join(neighbours, [*keys, "f"])
-        ordinary, others = active, neighbours
-        if self.any_hot_feature:
-            ordinary = active.join(self.hot_features, "f", "left_anti")
-            others = neighbours.join(self.hot_features, "f", "left_anti")
-        common = ordinary.join(others, [*keys, "f"]).select(*pair, "x", "y")
-        needed = wanted.select(*pair)
-        common = common.join(needed.hint("shuffle_hash"), pair, "left_semi")
-        if self.any_hot_feature:
-            own = active.join(self.hot_features, "f", "left_semi")
-            theirs = neighbours.join(self.hot_features, "f", "left_semi")
-            looked_up = needed.distinct().join(own, [*keys, "e"]).join(theirs, [*keys, "v", "f"])
-            common = common.union(looked_up.select(*pair, "x", "y"))
-        return wanted, _weighted(common.groupBy(*pair))
+
+_ACTIVE, _NEIGHBOUR, _TARGET = 0, 1, 2
+
+
+class _Group:
+    """One block pair: the pairs its targets need, and their similarity.
+
+    ``wanted`` rows join targets with the raters of their feature: ``target`` is the number of the
+    target, ``rater`` the place of the rating, ``pair`` that of the pair among the needed ones.
+    """
+
+    def __init__(self, table: pa.Table):
+        role = table.column("role").to_numpy()
+        ids = table.column("id").combine_chunks().dictionary_encode()
+        features = table.column("f").combine_chunks().dictionary_encode()
+        self.ids, self.features = ids.dictionary, features.dictionary
+        code, feature = (a.indices.to_numpy().astype(np.int64) for a in (ids, features))
+        rating = table.column("x").to_numpy()
+
+        def part(which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            mine = np.flatnonzero(role == which)
+            mine = mine[np.argsort(feature[mine], kind="stable")]
+            return code[mine], feature[mine], rating[mine]
+
+        self.active, self.raters = part(_ACTIVE), part(_NEIGHBOUR)
+        self.target_id, self.target_feature, _ = part(_TARGET)
+        edges = np.arange(len(self.features) + 1)
+        self.start = np.searchsorted(self.raters[1], edges)
+        self.held = np.diff(self.start)
+        self.many = len(self.ids)
+        self.target, self.rater = self._met(self.target_feature, 0, len(self.target_id))
+        keys = self.target_id[self.target] * self.many + self.raters[0][self.rater]
+        self.needed, self.pair = np.unique(keys, return_inverse=True)
+        self.moments = np.zeros((6, len(self.needed)))  # n, sx, sy, sxx, syy, sxy
+        if len(self.needed):
+            self._add_up(edges)
+
+    def _met(self, feature: np.ndarray, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows (place in ``feature``, place of a rating of that feature)."""
+        count = self.held[feature[start:stop]]
+        skipped = np.cumsum(count) - count
+        within = np.arange(count.sum()) - np.repeat(skipped, count)
+        return np.repeat(np.arange(start, stop), count), np.repeat(self.start[feature[start:stop]], count) + within
+
+    def _add_up(self, edges: np.ndarray) -> None:
+        e, f, x = self.active
+        v, _, y = self.raters
+        begin = np.searchsorted(f, edges)
+        looked_up = np.diff(begin) * self.held > max(len(self.needed), AT_ONCE)
+        for k in np.flatnonzero(looked_up):
+            ours, theirs = np.full(self.many, np.nan), np.full(self.many, np.nan)
+            ours[e[begin[k]:begin[k + 1]]] = x[begin[k]:begin[k + 1]]
+            theirs[v[self.start[k]:self.start[k + 1]]] = y[self.start[k]:self.start[k + 1]]
+            self._count(np.arange(len(self.needed)), ours[self.needed // self.many], theirs[self.needed % self.many])
+        plain = np.flatnonzero(~looked_up[f])
+        e, f, x = e[plain], f[plain], x[plain]
+        find = self._finder()
+        total = np.cumsum(self.held[f])
+        at = 0
+        while at < len(f):
+            before = total[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(total, before + AT_ONCE, "right")))
+            own, other = self._met(f, at, stop)
+            place = find(e[own], v[other])
+            hit = np.flatnonzero(place >= 0)
+            self._count(place[hit], x[own[hit]], y[other[hit]])
+            at = stop
+
+    def _finder(self) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """A function from (active, neighbour) to the place of the pair, -1 if it is not needed."""
+        if self.many * self.many <= CELLS:
+            table = np.full(self.many * self.many, -1, np.int32)
+            table[self.needed] = np.arange(len(self.needed))
+            return lambda e, v: table[e * self.many + v]
+
+        def search(e: np.ndarray, v: np.ndarray) -> np.ndarray:
+            keys = e * self.many + v
+            place = np.minimum(np.searchsorted(self.needed, keys), len(self.needed) - 1)
+            return np.where(self.needed[place] == keys, place, -1)
+
+        return search
+
+    def _count(self, place: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        """Add common ratings to the moments of pairs; pairs without one have NaN."""
+        both = ~(np.isnan(x) | np.isnan(y))
+        place, x, y = place[both], x[both], y[both]
+        for i, value in enumerate((np.ones(len(x)), x, y, x * x, y * y, x * y)):
+            self.moments[i] += np.bincount(place, value, len(self.needed))
+
+    def similarity(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """n, the neighbour's mean and the weight of the needed pairs; 0 without a common feature."""
+        n, sx, sy, sxx, syy, sxy = self.moments
+        spread_x, spread_y = n * sxx - sx * sx, n * syy - sy * sy
+        flat = (spread_x <= n * sxx * 1e-12) | (spread_y <= n * syy * 1e-12)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            w = np.where(flat, FLAT_WEIGHT, (n * sxy - sx * sy) / np.sqrt(spread_x * spread_y))
+            mean = np.where(n > 0, sy / n, 0.0)
+        return n, mean, np.where(n > 0, w, 0.0)
+
+
+def _pairs_of(group: _Group) -> pa.Table:
+    n, mean, w = group.similarity()
+    met = np.flatnonzero(n > 0)
+    keys = group.needed[met]
+    return pa.table({
+        "e": group.ids.take(pa.array(keys // group.many)),
+        "v": group.ids.take(pa.array(keys % group.many)),
+        "n": pa.array(n[met].astype(np.int64)), "mean": pa.array(mean[met]), "w": pa.array(w[met]),
+    })
+
+
+def _sums_of(group: _Group) -> pa.Table:
+    n, mean, w = group.similarity()
+    pair, many = group.pair, len(group.target_id)
+    y = group.raters[2][group.rater]
+    above = np.bincount(group.target, w[pair] * (y - mean[pair]), many)
+    weight = np.bincount(group.target, np.abs(w[pair]), many)
+    met = np.flatnonzero(np.bincount(group.target, n[pair] > 0, many))
+    return pa.table({
+        "e": group.ids.take(pa.array(group.target_id[met])),
+        "f": group.features.take(pa.array(group.target_feature[met])),
+        "above": pa.array(above[met]), "weight": pa.array(weight[met]),
+    })
+
+
+def _matched(active: DataFrame, neighbours: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The (target, neighbour) rows and the similarity of the pairs in them, salt by salt."""
+    pair = ["salt", "e", "v"]
+    wanted = targets.join(neighbours, ["salt", "f"])
+    common = active.join(neighbours, ["salt", "f"]).select(*pair, "x", "y")
+    common = common.join(wanted.select(*pair).hint("shuffle_hash"), pair, "left_semi")
+    return wanted, _weighted(common.groupBy(*pair))
 
 
 def _weighted(groups) -> DataFrame:
@@ -174,22 +314,4 @@ def _weighted(groups) -> DataFrame:
     w = F.when(flat, F.lit(FLAT_WEIGHT)).otherwise(
         (n * F.col("sxy") - sx * sy) / F.sqrt(spread_x * spread_y)
     )
-    kept = [c for c in moments.columns if c in ("block", "e", "v")]
-    return moments.select(*kept, "n", (sy / n).alias("mean"), w.alias("w"))
-
-
-@contextmanager
-def _partition_kept(spark: SparkSession) -> Iterator[None]:
-    """Lets joins on (block, …) use inputs that are partitioned by block alone."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
-def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    with _partition_kept(spark):
-        return stage(df, name)
+    return moments.select("salt", "e", "v", "n", (sy / n).alias("mean"), w.alias("w"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,28 +80,33 @@ def id_universe(train: DataFrame, test: DataFrame) -> DataFrame:
     )
 
 
-def als_predict(
+def als_fit(
     train: DataFrame, test: DataFrame, rank: int = 2, iterations: int = 20, reg: float = 0.5,
     seed: int = 42,
-) -> DataFrame:
-    """(user_id, business_id, prediction) by alternating least squares on explicit ratings.
-
-    Pairs the model cannot score get the mean of its scores. Scores are not limited to 0..5.
-    """
+) -> tuple[ALSModel, DataFrame, DataFrame]:
+    """The model of explicit ratings, and (user_id, user) and (business_id, item): its numbers."""
     users = stage(encode_ids(train, test, "user_id").withColumnRenamed("id", "user"), "ids")
     items = stage(encode_ids(train, test, "business_id").withColumnRenamed("id", "item"), "ids")
-
-    def coded(df: DataFrame, *columns: str) -> DataFrame:
-        return df.join(users, "user_id").join(items, "business_id").select(
-            "user_id", "business_id", "user", "item", *columns
-        )
-
     als = ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user", itemCol="item",
         ratingCol="rating", coldStartStrategy="nan",
     )
-    model = als.fit(coded(train, F.col("rating").cast("float").alias("rating")))
-    scored = model.transform(coded(test)).select(
+    coded = train.join(users, "user_id").join(items, "business_id")
+    model = als.fit(coded.select("user", "item", F.col("rating").cast("float").alias("rating")))
+    return model, users, items
+
+
+def als_predict(
+    train: DataFrame, test: DataFrame, rank: int = 2, iterations: int = 20, reg: float = 0.5,
+    seed: int = 42,
+) -> DataFrame:
+    """(user_id, business_id, prediction) by alternating least squares on explicit ratings.
+
+    Pairs the model cannot score get the mean of its scores. Scores are not limited to 0..5.
+    """
+    model, users, items = als_fit(train, test, rank, iterations, reg, seed)
+    coded = test.select("user_id", "business_id").join(users, "user_id").join(items, "business_id")
+    scored = model.transform(coded).select(
         "user_id", "business_id", F.col("prediction").cast("double").alias("prediction")
     )
     scored = stage(scored, "predictions")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +56,18 @@ def spent(*stages: DataFrame) -> None:
             java.getFileSystem(conf).delete(java, True)
 
 
+@contextmanager
+def partition_kept(spark: SparkSession) -> Iterator[None]:
+    """Lets joins on (block, …) use inputs that are partitioned by block alone."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Appended:
     """A table that a loop adds to, so that the plan of the whole does not grow with the rounds."""
 

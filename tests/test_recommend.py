@@ -2,10 +2,12 @@ import math
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from affinia.operators import recommend
+from affinia.operators import neighbours, recommend
 from affinia.plans.numbering import numbered
 
 
@@ -124,6 +126,80 @@ def test_als_covers_every_row_and_learns(spark):
     assert len(unknown) == 1
 
 
+def test_als_solves_its_normal_equations(spark):
+    """The side solved last has ridge solutions, scores are products, the rest gets their mean."""
+    train, test = data()
+    ratings, targets = frame(spark, train), frame(spark, test, False)
+    model, users, items = recommend.als_fit(ratings, targets)
+    number = {r["user_id"]: r["user"] for r in users.collect()}
+    place = {r["business_id"]: r["item"] for r in items.collect()}
+    of_user = {r["id"]: np.array(r["features"], float) for r in model.userFactors.collect()}
+    of_item = {r["id"]: np.array(r["features"], float) for r in model.itemFactors.collect()}
+    assert {len(x) for x in of_user.values()} == {2}
+    rated = defaultdict(list)
+    for u, i, r in train:
+        rated[number[u]].append((of_item[place[i]], r))
+    assert rated.keys() == of_user.keys()
+    for user, mine in rated.items():
+        a = sum(np.outer(v, v) for v, _ in mine) + 0.5 * len(mine) * np.eye(2)
+        b = sum(v * r for v, r in mine)
+        assert np.abs(a @ of_user[user] - b).max() < 1e-3 * max(1, np.abs(b).max())
+    expected = {}
+    for u, i in test:
+        known = number[u] in of_user and place[i] in of_item
+        expected[u, i] = of_user[number[u]] @ of_item[place[i]] if known else None
+    scored = [p for p in expected.values() if p is not None]
+    fill = sum(scored) / len(scored)
+    made = {(r["user_id"], r["business_id"]): r["prediction"] for r in recommend.als_predict(ratings, targets).collect()}
+    assert 0 < len(scored) < len(test)
+    assert made == pytest.approx({k: fill if p is None else p for k, p in expected.items()}, abs=1e-4)
+
+
+def neighbour_data(seed, hot):
+    """Ratings with one item that a third of the users rated, and one user with very many ratings."""
+    rng = random.Random(seed)
+    rows = {(f"u{u}", f"b{rng.randrange(60)}"): float(rng.randint(1, 5)) for u in range(120) for _ in range(7)}
+    if hot:
+        rows |= {(f"u{u}", "b0"): float(rng.randint(1, 5)) for u in range(0, 120, 3)}
+        rows |= {("u5", f"b{b}"): float(rng.randint(1, 5)) for b in range(55)}
+    pairs = [(f"u{rng.randrange(125)}", rng.choice(["b0", f"b{rng.randrange(62)}"])) for _ in range(150)]
+    return [(u, b, r) for (u, b), r in rows.items()], sorted(set(pairs))
+
+
+@pytest.mark.parametrize("side", ["user", "item"])
+@pytest.mark.parametrize("limits", [{}, {"pair_rows": 200}, {"hot": 9, "hot_entity": 30, "pair_rows": 500}])
+def test_hot_items_and_entities_change_nothing(spark, side, limits, monkeypatch):
+    if limits:  # the other ways inside a group
+        monkeypatch.setattr(neighbours, "AT_ONCE", 50)
+        monkeypatch.setattr(neighbours, "CELLS", 100)
+    train, test = neighbour_data(2, True)
+    made = recommend.cf_predict(frame(spark, train), frame(spark, test, False), side, **limits)
+    found = {(r["user_id"], r["business_id"]): r["prediction"] for r in made.collect()}
+    assert found == pytest.approx(expected_predictions(train, test, side))
+
+
+def test_a_hot_item_is_dealt_to_the_whole_grid(spark):
+    """With an item rated by a third of all users no block pair is three times the usual one."""
+    rng = random.Random(4)
+    rows = {(u, rng.randrange(1, 400)): 1.0 * rng.randint(1, 5) for u in range(3000) for _ in range(6)}
+    rows |= {(u, 0): 1.0 * rng.randint(1, 5) for u in range(0, 3000, 3)}
+    ratings = spark.createDataFrame([(u, b, r) for (u, b), r in rows.items()], "e long, f long, x double")
+    targets = spark.createDataFrame([(u, 0 if u % 2 else rng.randrange(400)) for u in range(0, 3000, 5)], "e long, f long")
+    around = neighbours.Neighbourhood(ratings, targets, pair_rows=20_000)
+
+    def measured(group):
+        return pa.table({
+            "e": pa.array([len(group.target)]), "f": pa.array([len(group.needed)]),
+            "above": pa.array([1.0]), "weight": pa.array([1.0]),
+        })
+
+    parts = around._in_blocks(*around._ordinary(), measured).collect()
+    assert len(parts) == around.blocks**2 >= 25
+    for column in ("e", "f"):
+        work = sorted(r[column] for r in parts)
+        assert work[-1] < 3 * work[len(work) // 2]
+
+
 def test_rmse(spark):
     actual = frame(spark, [("a", "x", 3.0), ("a", "y", 1.0)])
     predicted = spark.createDataFrame(
