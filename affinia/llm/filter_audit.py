@@ -38,20 +38,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affinia.llm.common import stage
+from affinia.llm.wordarrays import bytes_of, hashes, words_of
 
 FILTERS = "ABCDE"
 SHARD_BYTES = 8 << 20
 BUCKET_WORDS = 1 << 19
 #: Fixed limits of the filters.
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 200, 50, 2
-#: Fixed odd factor of the polynomial that spreads words over the buckets.
-FACTOR = 0x9E3779B97F4A7C15
-_AT_ONCE = 1 << 16
 
-_UPPER, _SYMBOL, _LATER, _BLANK = (np.zeros(256, bool) for _ in range(4))
+_UPPER, _SYMBOL, _LATER = (np.zeros(256, bool) for _ in range(3))
 _UPPER[ord("A"):ord("Z") + 1] = True
 _SYMBOL[list(b"#$%&*|")] = True
-_BLANK[list(b" \t\n\v\f\r")] = True
 _LATER[0x80:0xC0] = True  # bytes of UTF-8 characters after their first
 
 _MATRIX = (
@@ -65,17 +62,9 @@ _LISTS = {
 }
 
 
-def _bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string or binary array, and where each of its values starts and ends."""
-    _, offsets, data = array.buffers()
-    ends = np.frombuffer(offsets, np.int32)[array.offset:array.offset + len(array) + 1].astype(np.int64)
-    held = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    return held[ends[0]:ends[-1]], ends - ends[0]
-
-
 def marks(texts: pa.Array) -> np.ndarray:
     """The bits of filters C and D that the texts fail."""
-    data, ends = _bytes(texts)
+    data, ends = bytes_of(texts)
 
     def count(kind: np.ndarray) -> np.ndarray:
         return np.diff(np.searchsorted(np.flatnonzero(kind[data]), ends))
@@ -86,45 +75,9 @@ def marks(texts: pa.Array) -> np.ndarray:
     return c.astype(np.int32) << FILTERS.index("C") | d.astype(np.int32) << FILTERS.index("D")
 
 
-def hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit number per word, to spread words evenly: a polynomial of its bytes, mixed."""
-    parts = [_hashes(words.slice(at, _AT_ONCE)) for at in range(0, len(words), _AT_ONCE)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-
-
-def _hashes(words: pa.Array) -> np.ndarray:
-    data, ends = _bytes(words)
-    powers = np.cumprod(np.full(len(data) + 1, FACTOR, np.uint64))
-    before = np.concatenate((np.zeros(1, np.uint64), np.cumsum(powers[:-1] * (data.astype(np.uint64) + np.uint64(1)))))
-    back = np.cumprod(np.full(len(data) + 1, pow(FACTOR, -1, 1 << 64), np.uint64))
-    value = (before[ends[1:]] - before[ends[:-1]]) * back[ends[:-1]]
-    value ^= value >> np.uint64(31)
-    value *= np.uint64(0xBF58476D1CE4E5B9)
-    return value ^ value >> np.uint64(29)
-
-
-def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, as one binary array, and the number of words of each text."""
-    data, ends = _bytes(texts)
-    inside = ~_BLANK[data]
-    # A byte begins (ends) a word if the one before (after) it is a blank or of another text.
-    begins, stops = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    stops[:-1] &= ~inside[1:]
-    full = ends[:-1] < ends[1:]
-    begins[ends[:-1][full]] = inside[ends[:-1][full]]
-    stops[ends[1:][full] - 1] = inside[ends[1:][full] - 1]
-    starts = np.flatnonzero(begins)
-    offsets = np.concatenate(([0], np.cumsum(np.flatnonzero(stops) + 1 - starts))).astype(np.int32)
-    array = pa.Array.from_buffers(
-        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
-    )
-    return array, np.diff(np.searchsorted(starts, ends))
-
-
 def matrix(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """vocabulary (in the order of its hashes), starts, words, counts of the documents' matrix."""
-    flat, lengths = words(texts)
+    flat, lengths = words_of(texts)
     coded = flat.dictionary_encode()
     order = np.argsort(hashes(coded.dictionary), kind="stable")
     place = np.empty(len(order), np.int64)

@@ -58,10 +58,13 @@ def items():
     return [(3, t[5]), (4, t[5]), (4, t[5]), (None, t[30]), (5, None), (6, ""), (7, "w1 W2"), (8, "京都"), (10, t[40])]
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 20, 300])
-def test_contamination(spark, docs, rows, part_bytes):
+@pytest.mark.parametrize("bits", [1 << 22, 64])
+def test_contamination(spark, docs, rows, bits, monkeypatch):
+    """With a bitmap that nearly everything passes the joins alone decide."""
+    monkeypatch.setattr(decontaminate.bitmap, "__defaults__", (bits,))
+
     benchmark = spark.createDataFrame([(i, t, 1) for i, t in items()], "item_id long, text string, item int")
-    found = decontaminate.contamination(docs, benchmark, ["doc_id"], part_bytes=part_bytes)
+    found = decontaminate.contamination(docs, benchmark, ["doc_id"])
     hit = decontaminate.covered(F.col("result.hits"))
     mine = found.select(
         "row.doc_id", "result.n_words", hit, F.size("result.items"),
