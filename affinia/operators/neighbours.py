@@ -284,7 +284,7 @@ def _sums_of(group: _Group) -> pa.Table:
     return pa.table({
         "e": group.ids.take(pa.array(group.target_id[met])),
         "f": group.features.take(pa.array(group.target_feature[met])),
-        "above": pa.array(above[met]), "weight": pa.array(weight[met]),
+        "above": pa.array(above[met].astype(float)), "weight": pa.array(weight[met].astype(float)),
     })
 
 
