@@ -3,12 +3,14 @@
 A block of vectors keeps, for each of ``PROJECTIONS`` random directions, its projections as a sorted
 array. A query opens a window around its own projection in every array; a vector collides once for
 each window it lies in, and one that collides at least ``NEEDED`` times is verified by its exact
-distance. The windows are ``WIDTH`` x radius to either side, and the radius grows by ``GROWTH`` from
-round to round (virtual rehashing: the arrays stay as they are, only the ends of the windows move,
-and only what enters a window is counted) until ``k`` verified vectors lie within the radius, or the
-whole block is verified. A vector at the radius is within a window with probability 0.77, so it has
-fewer than ``NEEDED`` of 256 collisions with a probability of about 0.1, and a nearer one with less;
-of vectors at 1.2 times the radius about one in twenty is verified, at 1.4 times hardly any.
+distance. The windows are ``WIDTH`` x radius to either side, and the radius grows from round to round
+(virtual rehashing: the arrays stay as they are, only the ends of the windows move; a vector's place
+in an array tells whether it lies in the window): by ``GROWTH``, or to the distance of the k-th
+nearest verified vector once there are ``k``. It ends when ``k`` verified vectors lie within the
+radius, or the whole block is verified. A vector at the radius is within a window with
+probability 0.77, so it has fewer than ``NEEDED`` of 192 collisions with a probability of about 0.08,
+and a nearer one with less; of vectors at 1.2 times the radius about one in eight is verified, at
+1.4 times hardly any.
 
 Vectors are shuffled once, into blocks, whose arrays are built once; the queries are sent to every
 block and stream past it in batches, so a task holds a block and a batch, however many queries there
@@ -33,10 +35,10 @@ from pyspark.sql.window import Window
 
 from affinia.llm.common import stage
 
-PROJECTIONS = 256
+PROJECTIONS = 192
 WIDTH = 1.2
-NEEDED = 188
-GROWTH = 1.04
+NEEDED = 139
+GROWTH = 1.1
 VECTORS = 4096
 SEED = 20_240_229
 
@@ -55,17 +57,18 @@ class Block:
         self.ids, self.vectors = ids, vectors
         self.direction = directions(vectors.shape[1])
         projected = (vectors @ self.direction).T
-        self.order = np.argsort(projected, axis=1, kind="stable")
+        order = np.argsort(projected, axis=1, kind="stable")
         # One array for all directions, each lifted above the one before it, so that the ends of all
-        # windows are found at once.
+        # windows are found at once; and every vector's place in each of the arrays.
         self.lift = (4 + 4 * float(np.abs(projected).max())) * np.arange(len(projected))
-        self.sorted = (np.take_along_axis(projected, self.order, axis=1) + self.lift[:, None]).ravel()
-        self.order = self.order.ravel()
+        self.sorted = (np.take_along_axis(projected, order, axis=1) + self.lift[:, None]).ravel()
+        self.place = np.empty(order.shape, np.uint16 if len(ids) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=self.place.dtype)[None], axis=1)
         # A first radius: most of the usual distance within which k of the block's vectors lie.
         sample = vectors[:: max(1, len(vectors) // 32)][:32]
         tenth = min(10, len(vectors) - 1)
         near = np.array([np.partition(self.distance(v, slice(None)), tenth)[tenth] for v in sample])
-        self.radius = 0.85 * float(np.median(near[near > 0])) if (near > 0).any() else 1e-9
+        self.radius = 0.95 * float(np.median(near[near > 0])) if (near > 0).any() else 1e-9
         self.verified = 0
 
     def distance(self, query: np.ndarray, rows) -> np.ndarray:
@@ -78,33 +81,30 @@ class Block:
         edge = np.arange(m) * n
         # A query from another block may lie outside the block's range.
         reach = (self.lift[1] if m > 1 else 1.0) / 2 - 1
-        count = np.zeros(n, np.int64)
         verified = np.zeros(n, bool)
-        low = high = None
         rows, dist = np.zeros(0, np.int64), np.zeros(0)
         own = self.ids == query_id
         radius = self.radius
         while True:
             half = WIDTH * radius
-            new_low = np.searchsorted(self.sorted, np.clip(centre - half, -reach, reach) + self.lift, "left")
-            new_high = np.searchsorted(self.sorted, np.clip(centre + half, -reach, reach) + self.lift, "right")
-            if low is None:
-                low = high = new_low
-            parts = [self.order[a:b] for a, b in zip(new_low.tolist(), low.tolist()) if a < b]
-            parts += [self.order[a:b] for a, b in zip(high.tolist(), new_high.tolist()) if a < b]
-            low, high = np.minimum(low, new_low), np.maximum(high, new_high)
-            if parts:
-                met = np.concatenate(parts)
-                count += np.bincount(met, minlength=n)
-                fresh = np.flatnonzero((count >= min(NEEDED, m)) & ~verified)
-                verified[fresh] = True
-                fresh = fresh[~own[fresh]]
-                rows = np.concatenate((rows, fresh))
-                dist = np.concatenate((dist, self.distance(query, fresh)))
-            if np.count_nonzero(dist <= radius) >= k or verified.all():
+            low = np.searchsorted(self.sorted, np.clip(centre - half, -reach, reach) + self.lift, "left") - edge
+            high = np.searchsorted(self.sorted, np.clip(centre + half, -reach, reach) + self.lift, "right") - edge
+            # Places below the window wrap around to numbers above any width.
+            kind = self.place.dtype
+            inside = self.place - low[:, None].astype(kind) < (high - low)[:, None].astype(kind)
+            full = (high - low == n).all()
+            fresh = np.flatnonzero((full | (inside.sum(axis=0, dtype=np.uint16) >= NEEDED)) & ~verified)
+            verified[fresh] = True
+            fresh = fresh[~own[fresh]]
+            rows = np.concatenate((rows, fresh))
+            dist = np.concatenate((dist, self.distance(query, fresh)))
+            if verified.all():
                 break
-            # Windows that took in nothing open up to the next projection.
-            radius = radius * GROWTH if parts else max(radius * GROWTH, self._next(centre, low - edge, high - edge))
+            # With k verified, the last of them is the radius within which nothing may be missed.
+            wanted = np.partition(dist, k - 1)[k - 1] if len(dist) >= k else np.inf
+            if wanted <= radius:
+                break
+            radius = min(wanted * 1.0001 + 1e-12, max(radius * GROWTH, self._next(centre, low, high) if not inside.any() else 0))
         self.verified += len(rows)
         best = np.lexsort((self.ids[rows], dist))[:k]
         return self.ids[rows[best]], dist[best]
