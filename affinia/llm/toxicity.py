@@ -10,9 +10,13 @@ training labels, counted over all of them.
 Features are the distinct words of the whole text, their beginnings (of each length of ``PREFIXES``
 bytes, for words that are derived from a common stem), and the beginnings of two or more different
 words: one word may quote or resemble an insult, several of one stem rarely do. The model is fitted in numpy to the ``POSITIVE``
-confirmed and the ``UNLABELLED`` other texts of smallest hash; features in fewer than
-``LEAST`` of these have no weight, and a lasso step removes those without evidence. The weights go to the tasks
-as one table of bounded size.
+confirmed and the ``UNLABELLED`` other texts of smallest hash. Their features are counted in Spark:
+those in fewer than ``LEAST`` of the texts have no weight, nor those beyond the ``MOST`` frequent, so
+that the driver gets numbers of a bounded vocabulary, however long the texts. A lasso step removes
+features without evidence. The weights go to the tasks as one table of bounded size.
+
+``PREFIXES`` and ``LASSO`` were chosen once by three folds of training rows alone (crc32 mod 3 not 1)
+of a small table; held-out rows took no part in any choice.
 
 Defined cases: null texts are empty and score as a text without known words; labels without doc_id
 or mark are left out; repeated rows are examples of their own and are answered row by row; without
@@ -25,20 +29,20 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from affinia.llm.common import annotate, plain_words, thinned
+from affinia.llm.common import annotate, plain_words, stage, thinned
 from affinia.llm.quality import held_out
 from affinia.llm.trees import sigmoid
 
 POSITIVE = 3_000
 UNLABELLED = 6_000
 LEAST = 8
+MOST = 200_000
 STEPS = 300
-LASSO = 1.5e-4
+LASSO = 4e-4
 PREFIXES = (4, 6)
 THRESHOLD = 0.7
 
@@ -66,44 +70,56 @@ def score(base: float, weights: dict[bytes, float], text: str | None) -> float:
     return float(sigmoid(np.float64(total)))
 
 
-def fit(positive: list[bytes], unlabelled: list[bytes], prior: float) -> Model:
-    """From the features of the texts of both samples, each text's joined by blanks."""
+def risk(
+    f: np.ndarray, n_pos: int, prior: float
+) -> tuple[float, float, np.ndarray]:
+    """The part of the risk from confirmed texts, that of the unseen negatives (before it is cut off
+    at 0), and the slope in the scores ``f`` (the first ``n_pos`` are confirmed) that a step follows."""
+    n_unl = len(f) - n_pos
+    p = sigmoid(f)
+    soft = np.logaddexp(0, f)
+    positive = prior * np.logaddexp(0, -f[:n_pos]).mean()
+    negative = soft[n_pos:].mean() - prior * soft[:n_pos].mean()
+    is_pos = np.arange(len(f)) < n_pos
+    as_positive = np.where(is_pos, prior * (p - 1) / n_pos, 0.0)
+    as_negative = np.where(is_pos, -prior * p / n_pos, p / n_unl)
+    return positive, negative, as_positive + as_negative if negative >= 0 else -as_negative
+
+
+def fit(
+    rows: list[np.ndarray], n_pos: int, names: list[bytes], prior: float, lasso: float = LASSO,
+    steps: int = STEPS,
+) -> Model:
+    """From the numbers of each text's features, the ``n_pos`` confirmed texts first."""
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     base = float(np.log(prior / (1 - prior)))
-    if not positive or not unlabelled:
+    n = len(rows)
+    if not n_pos or n == n_pos:
         return Model(base, {})
-    texts = positive + unlabelled
-    seen = Counter()
-    for text in texts:
-        seen.update(text.split())
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= LEAST))}
-    del seen
-    rows = [np.array(sorted(vocabulary[w] for w in t.split() if w in vocabulary), np.int32) for t in texts]
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     column = np.concatenate(rows)
-    n_pos, n_unl, n = len(positive), len(unlabelled), len(rows)
-    is_pos = np.arange(n) < n_pos
-    weight, bias = np.zeros(len(vocabulary)), base
-    m, v = np.zeros(len(vocabulary) + 1), np.zeros(len(vocabulary) + 1)
-    for step in range(1, STEPS + 1):
-        f = bias + np.bincount(row, weight[column], n)
-        p = sigmoid(f)
-        # Mean losses and their slopes in f.
-        soft = np.logaddexp(0, f)
-        negative_risk = soft[n_pos:].mean() - prior * soft[:n_pos].mean()
-        as_positive = np.where(is_pos, prior * (p - 1) / n_pos, 0.0)
-        as_negative = np.where(is_pos, -prior * p / n_pos, p / n_unl)
-        slope = as_positive + as_negative if negative_risk >= 0 else -as_negative
-        gradient = np.append(np.bincount(column, slope[row], len(vocabulary)), slope.sum())
+    weight, bias = np.zeros(len(names)), base
+    m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    for step in range(1, steps + 1):
+        _, _, slope = risk(bias + np.bincount(row, weight[column], n), n_pos, prior)
+        gradient = np.append(np.bincount(column, slope[row], len(names)), slope.sum())
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
-        rate = 0.05 * (1 - step / (STEPS + 1)) ** 0.5
+        rate = 0.05 * (1 - step / (steps + 1)) ** 0.5
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         weight -= move[:-1]
         bias -= move[-1]
-        shrink = LASSO / (np.sqrt(v[:-1] / (1 - 0.999**step)) + 1e-8) * rate
+        shrink = lasso / (np.sqrt(v[:-1] / (1 - 0.999**step)) + 1e-8) * rate
         weight = np.sign(weight) * np.maximum(0, np.abs(weight) - shrink)
-    words = list(vocabulary)
-    return Model(float(bias), {words[i]: float(weight[i]) for i in np.flatnonzero(weight)})
+    return Model(float(bias), {names[i]: float(weight[i]) for i in np.flatnonzero(weight)})
+
+
+def vocabulary(texts: list[set[bytes]], least: int = LEAST, most: int = MOST) -> list[bytes]:
+    """The features of at least ``least`` texts, of these the ``most`` frequent, in order."""
+    seen = Counter()
+    for found in texts:
+        seen.update(found)
+    often = sorted((-n, w) for w, n in seen.items() if n >= least)[:most]
+    return sorted(w for _, w in often)
 
 
 def train(
@@ -118,9 +134,9 @@ def train(
         return Model(-1e3 if not total else float(np.log(1e-6)), {})
     order = F.xxhash64("doc_id", F.lit(3))
     # Both samples are bounded by their parameters, and so is what is broadcast or collected.
+    marked = known.where("toxic = 1").select("doc_id").distinct()
     chosen = F.broadcast(
-        thinned(known.where("toxic = 1").select("doc_id").distinct(), order, toxic, positive)
-        .orderBy(order, "doc_id").limit(positive)
+        thinned(marked, order, marked.count(), positive).orderBy(order, "doc_id").limit(positive)
     )
     texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     others = texts.where(~held_out(F.col("doc_id"), 3, 1)).select("doc_id")
@@ -128,17 +144,31 @@ def train(
     picked = thinned(others, other, others.count(), unlabelled).orderBy(other, "doc_id").limit(unlabelled).distinct()
 
     def distinct(values: list) -> list[dict]:
-        return [{"words": b" ".join(sorted(features(t)))} for t in values]
+        return [{"words": sorted(features(t))} for t in values]
 
-    kind = T.StructType([T.StructField("words", T.BinaryType())])
+    kind = T.StructType([T.StructField("words", T.ArrayType(T.BinaryType()))])
 
-    def words_of(sample: DataFrame, most: int) -> list[bytes]:
+    def words_of(sample: DataFrame, most: int, part: int) -> DataFrame:
         mine = texts.join(F.broadcast(sample), "doc_id", "left_semi")
         rows = annotate(mine, distinct, kind, carry=["doc_id"]).select("row.doc_id", "result.words")
-        held = rows.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "words").limit(most).toArrow()
-        return held.column("words").to_pylist()
-
-    return fit(words_of(chosen, positive), words_of(picked, unlabelled), toxic / total)
+        rows = rows.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "words").limit(most)
+        return rows.select(F.lit(part).alias("part"), F.monotonically_increasing_id().alias("at"), "words")
+
+    sample = stage(words_of(chosen, positive, 0).union(words_of(picked, unlabelled, 1)), "sample")
+    each = sample.select("part", "at", F.explode("words").alias("word"))
+    often = each.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    names = sorted(bytes(r.word) for r in often.orderBy(F.desc("n"), "word").limit(MOST).collect())
+    numbers = docs.sparkSession.createDataFrame(
+        list(zip(names, range(len(names)))), "word binary, number int"
+    )
+    # Texts without a known feature count as well, so the numbers are joined to the sample.
+    kept = each.join(F.broadcast(numbers), "word").groupBy("part", "at").agg(
+        F.sort_array(F.collect_list("number")).alias("numbers")
+    )
+    held = sample.select("part", "at").join(kept, ["part", "at"], "left").orderBy("part", "at").toArrow()
+    rows = [np.array(r or [], np.int32) for r in held.column("numbers").to_pylist()]
+    n_pos = held.column("part").to_pylist().count(0)
+    return fit(rows, n_pos, names, toxic / total)
 
 
 def scored(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataFrame:

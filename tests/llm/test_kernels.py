@@ -183,13 +183,38 @@ def test_positive_unlabelled_learning():
     rng = np.random.default_rng(4)
     words = [f"w{i}".encode() for i in range(300)]
     def text(toxic):
-        own = list(rng.choice(words, 30))
-        return b" ".join(own + [b"vile"] * toxic)
-    positive = [text(1) for _ in range(200)]
-    unlabelled = [text(int(i % 10 == 0)) for i in range(600)]
-    model = toxicity.fit(positive, unlabelled, 0.1)
+        return {*rng.choice(words, 30).tolist(), *[b"vile"] * toxic}
+    texts = [text(1) for _ in range(200)] + [text(int(i % 10 == 0)) for i in range(600)]
+    names = toxicity.vocabulary(texts)
+    number = {w: i for i, w in enumerate(names)}
+    rows = [np.array(sorted(number[w] for w in t if w in number), np.int32) for t in texts]
+    model = toxicity.fit(rows, 200, names, 0.1)
     assert toxicity.score(model.base, model.weights, "a Vile w1 w2") > 0.7
     assert toxicity.score(model.base, model.weights, "w1 w2 w3") < 0.3
+    assert toxicity.vocabulary(texts, most=3) == sorted(toxicity.vocabulary(texts, most=3))[:3]
+
+
+@pytest.mark.parametrize("prior, shift", [(0.1, 0.0), (0.4, 0.0), (0.6, 4.0), (0.6, -6.0)])
+def test_slope_of_the_risk(prior, shift):
+    """Against differences of the risk as it is defined; where the negatives' part is below 0, the
+    step goes up its slope."""
+    rng = np.random.default_rng(6)
+    n_pos, n = 7, 20
+    f = rng.standard_normal(n)
+    f[:n_pos] += shift
+
+    def parts(f):
+        loss = lambda z: np.log1p(np.exp(-z))
+        positive = prior * np.mean([loss(z) for z in f[:n_pos]])
+        negative = np.mean([loss(-z) for z in f[n_pos:]]) - prior * np.mean([loss(-z) for z in f[:n_pos]])
+        return positive, negative
+
+    positive, negative, slope = toxicity.risk(f, n_pos, prior)
+    assert np.allclose((positive, negative), parts(f))
+    followed = (lambda f: sum(parts(f))) if negative >= 0 else (lambda f: -parts(f)[1])
+    for i in range(n):
+        step = np.eye(n)[i] * 1e-5
+        assert abs(slope[i] - (followed(f + step) - followed(f - step)) / 2e-5) < 1e-7
 
 
 def test_collision_counting_finds_neighbours():
