@@ -1,5 +1,10 @@
 """Licence scans: known licence sentences, then ordered rules over the recognised sentences.
 
+Known are the headers, notices or grants of Apache-2.0, MIT, ISC, BSD-2-Clause and BSD-3-Clause (with
+any holder's name), Zlib, BSL-1.0, GPL-2.0 and 3.0 (only, or later), LGPL-2.1 and 3.0, AGPL-3.0,
+MPL-2.0, EPL-2.0, CC-BY, CC-BY-SA and CC-BY-NC 4.0, CC0-1.0 and Unlicense, and SPDX lines that name
+any of these; the bodies of the long licences are not.
+
 A text is cut into sentences at line ends and at ``. ! ? ;`` or ``:`` followed by a blank, and once more with
 single line ends taken as blanks, for sentences that run over lines. Every sentence is normalised
 (A-Z to lower case, comment marks and everything but ASCII letters and digits to one blank) and
@@ -43,10 +48,25 @@ SENTENCES = {
     "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3",
     "gpl-free": "This program is free software",
+    "gpl3-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation",
+    "gpl2-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    "lgpl-free": "This library is free software",
+    "lgpl-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "lgpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
     "gpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
-    "gpl2-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "gpl-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
     "gpl-details": "See the GNU General Public License for more details",
+    "later-2": "either version 2 of the License, or (at your option) any later version",
+    "later-2.1": "either version 2.1 of the License, or (at your option) any later version",
+    "later-3": "either version 3 of the License, or (at your option) any later version",
+    "epl2-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    "zlib-warranty": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "bsl1-notice": "Distributed under the Boost Software License, Version 1.0",
+    "bsl1-grant": 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following',
+    "cc0-title": "CC0 1.0 Universal",
     "mpl2-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "mpl2-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at",
     "cc-by-nc4-notice": "Licensed under CC BY-NC 4.0",
@@ -70,7 +90,21 @@ RULES = [
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("GPL-3.0", ("gpl3-notice",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-redistribute")),
-    ("GPL-2.0-or-later", ("gpl-free", "gpl2-redistribute")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl-terms", "later-2")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-terms", "later-3")),
+    ("GPL-3.0-only", ("gpl-free", "gpl3-only")),
+    ("GPL-2.0-only", ("gpl-free", "gpl2-only")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl-terms", "later-2.1")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl-terms", "later-3")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl3-redistribute")),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl3-redistribute")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl3-redistribute")),
+    ("EPL-2.0", ("epl2-terms",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    ("BSL-1.0", ("bsl1-notice",)),
+    ("BSL-1.0", ("bsl1-grant",)),
+    ("CC0-1.0", ("cc0-title",)),
+    ("CC0-1.0", ("cc0-waiver",)),
     ("MPL-2.0", ("mpl2-notice",)),
     ("CC-BY-NC-4.0", ("cc-by-nc4-notice",)),
     ("CC-BY-4.0", ("cc-by4-notice",)),
@@ -79,6 +113,26 @@ RULES = [
     ("Unlicense", ("unlicense-release",)),
 ]
 
+# Sentences with a name in them, after normalising.
+PATTERNS = [
+    ("bsd-endorse", "neither the name", re.compile(
+        r"neither the names? of .{1,200} nor the names of (?:its|their|the) contributors may be used to endorse or "
+        r"promote products derived from this software without specific prior written permission"
+    )),
+    ("cc0-waiver", "to the extent possible", re.compile(
+        r"to the extent possible under law .{1,200} waived all copyright and related or neighboring rights to .{1,200}"
+    )),
+]
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]{1,200})")
+_SPDX_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+-]*[A-Za-z0-9+]")
+SPDX_NAMES = {licence.lower(): licence for licence, _ in RULES} | {
+    "gpl-2.0": "GPL-2.0-only", "gpl-2.0+": "GPL-2.0-or-later", "gpl-3.0+": "GPL-3.0-or-later",
+    "lgpl-2.1": "LGPL-2.1-only", "lgpl-2.1-only": "LGPL-2.1-only", "lgpl-2.1+": "LGPL-2.1-or-later",
+    "lgpl-3.0": "LGPL-3.0-only", "lgpl-3.0-only": "LGPL-3.0-only", "lgpl-3.0+": "LGPL-3.0-or-later",
+    "agpl-3.0": "AGPL-3.0-only", "agpl-3.0-only": "AGPL-3.0-only",
+}
+RULES += [(licence, (f"spdx-{licence}",)) for licence in sorted(set(SPDX_NAMES.values()))]
+
 _BREAK = r"[.!?;:]+(?=[ \t\r\n]|$)"
 _MARK = r"[ \t]*(?:#+|//+|\*+|;+|--+)?[ \t]*"  # of a comment line
 _LINES = re.compile(_BREAK + r"|[\r\n]+")
@@ -111,14 +165,28 @@ def sentences(text: str) -> list[tuple[int, str]]:
                 piece = text[at:end]
                 if pattern is _WRAPPED:
                     piece = _WRAP_MARKS.sub(" ", piece)
-                name = KNOWN.get(normalised(piece))
+                plain = normalised(piece)
+                name = KNOWN.get(plain) or _named(plain)
                 if name:
                     lead = len(piece) - len(piece.lstrip()) if pattern is _LINES else _lead(text, at)
                     found.add((at + lead, name))
             at = m.end() if m else end
+    for m in _SPDX.finditer(text) if "SPDX-" in text else ():
+        for one in _SPDX_ID.finditer(text, m.start(1), m.end(1)):
+            name = SPDX_NAMES.get(one[0].lower())
+            if name:
+                found.add((one.start(), f"spdx-{name}"))
     return sorted(found)
 
 
+def _named(plain: str) -> str | None:
+    """The identifier of a sentence that is known but for a name in it."""
+    for name, start, pattern in PATTERNS:
+        if plain.startswith(start) and pattern.fullmatch(plain):
+            return name
+    return None
+
+
 def _lead(text: str, at: int) -> int:
     end = at
     while end < len(text) and text[end] in " \t\r\n":
