@@ -41,10 +41,12 @@ CHUNK_CHARS = 4 << 20
 BUCKET_WINDOWS = 1 << 20
 CACHE = 300_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
+SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
+ROW_CHARS = 64  # what a row counts for besides its text
 NO_ID = np.iinfo(np.int64).max
 
 _CODES = "bucket long, chunk long, codes binary, twice binary"
-_WINDOWS = "bucket long, chunk long, keys binary, low binary, range binary"
+_WINDOWS = "bucket long, chunk long, keys binary, seconds binary, low binary, range binary"
 _RESULT = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("n_removed", T.LongType()),
@@ -68,14 +70,14 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def rolling(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def rolling(hashes: np.ndarray, window: int = WINDOW, base: np.uint64 = BASE) -> np.ndarray:
     """The Rabin-Karp hash of every window of word hashes, with its bits mixed."""
     n = len(hashes) - window + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     total = np.zeros(n, np.uint64)
     for k in range(window):
-        total *= BASE
+        total *= base
         total += hashes[k:k + n]
     total ^= total >> np.uint64(32)
     total *= np.uint64(0xD6E8FEB86659FD93)
@@ -83,13 +85,13 @@ def rolling(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return total
 
 
-def _windows(chunk: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of a chunk's documents, and the doc_id of each."""
+def _windows(chunk: pa.Table, window: int, bases: tuple = (BASE,)) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of all windows of a chunk's documents for each base, and the doc_id of each window."""
     known = WordHashes()
-    found = [rolling(known.of(blank_words(t)), window) for t in chunk.column("text").to_pylist()]
-    sizes = [len(x) for x in found]
+    texts = [known.of(blank_words(t)) for t in chunk.column("text").to_pylist()]
+    found = [[rolling(t, window, base) for t in texts] for base in bases]
     ids = chunk.column("id").fill_null(NO_ID).to_numpy()
-    return np.concatenate(found) if found else np.zeros(0, np.uint64), np.repeat(ids, sizes)
+    return [_joined(f, np.uint64) for f in found], np.repeat(ids, [len(x) for x in found[0]])
 
 
 def _starts(sorted_keys: np.ndarray) -> np.ndarray:
@@ -99,14 +101,13 @@ def _starts(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
 
 
-def _by_key(keys: np.ndarray, low: np.ndarray, high: np.ndarray):
-    """Distinct keys, ascending, with the smallest ``low`` and the largest ``high`` of each."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = _starts(keys)
-    if not len(first):
-        return keys, low, high
-    return keys[first], np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+def _grouped(keys: np.ndarray, seconds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of (key, second), and where in it each run of equal ones begins."""
+    order = np.lexsort((seconds, keys))
+    k, s = keys[order], seconds[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+    return order, np.flatnonzero(new)
 
 
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -130,6 +131,13 @@ def _joined(parts: list[np.ndarray], kind: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
+def sizes(chars: int, rows: int, chunk_chars: int, bucket_windows: int) -> tuple[int, int]:
+    """The number of chunks, and the bits of the number of buckets."""
+    bits = int(chars // (6 * bucket_windows)).bit_length()
+    grown = chunk_chars * min(16, max(1, (1 << bits) >> 11))
+    return (chars + ROW_CHARS * rows) // grown + 1, bits
+
+
 def remove_repeats(
     docs: DataFrame, carry: list[str] | None = None, window: int = WINDOW,
     chunk_chars: int = CHUNK_CHARS, bucket_windows: int = BUCKET_WINDOWS,
@@ -137,9 +145,8 @@ def remove_repeats(
     """Per document ``row`` (the carried columns, without text) and ``result``: n_words, n_removed,
     the removed word intervals, and the kept words joined by blanks."""
     carry = [c for c in docs.columns if c != "text"] if carry is None else carry
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    chunks = chars // chunk_chars + 1
-    bits = int(chars // (6 * bucket_windows)).bit_length()
+    chars, rows = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count("*")).first()
+    chunks, bits = sizes(chars, rows, chunk_chars, bucket_windows)
     code_shift, bucket_shift = np.uint64(32 - bits), np.uint64(32)
 
     dealt = docs.select(
@@ -149,7 +156,7 @@ def remove_repeats(
     )
 
     def send_codes(chunk: pa.Table) -> pa.Table:
-        hashes, _ = _windows(chunk, window)
+        (hashes,), _ = _windows(chunk, window)
         codes = np.sort(hashes >> code_shift)
         first = _starts(codes)
         twice = np.diff(np.append(first, len(codes))) > 1
@@ -180,44 +187,70 @@ def remove_repeats(
             codes.astype(np.uint64) | np.uint64(bucket << 32)
             for bucket, codes in zip(repeated.column("bucket").to_pylist(), _read(repeated, "codes", "<u4"))
         ]))
-        hashes, ids = _windows(chunk, window)
+        (hashes, seconds), ids = _windows(chunk, window, (BASE, SECOND))
         codes = hashes >> code_shift
         at = np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)
         hit = wanted[at] == codes
-        keys, low, high = _by_key(hashes[hit], ids[hit], ids[hit])
+        keys, seconds, ids = hashes[hit], seconds[hit], ids[hit]
+        order, first = _grouped(keys, seconds)
+        if not len(first):
+            return _table([], _WINDOWS)
+        low, high = np.minimum.reduceat(ids[order], first), np.maximum.reduceat(ids[order], first)
+        keys, seconds = keys[order][first], seconds[order][first]
         number = chunk.column("chunk")[0].as_py()
         return _table([
-            (b, number, keys[s].tobytes(), low[s].tobytes(), (high[s] - low[s]).tobytes())
+            (b, number, keys[s].tobytes(), seconds[s].tobytes(), low[s].tobytes(), (high[s] - low[s]).tobytes())
             for b, s in _by_bucket(keys >> code_shift >> bucket_shift)
         ], _WINDOWS)
 
     def repeated_windows(sent: pa.Table) -> pa.Table:
-        keys, low, span = _read(sent, "keys", "<u8"), _read(sent, "low", "<i8"), _read(sent, "range", "<i8")
-        whole, least, _ = _by_key(_joined(keys, "<u8"), _joined(low, "<i8"), _joined(low, "<i8"))
-        rows = []
-        for number, k, a, r in zip(sent.column("chunk").to_pylist(), keys, low, span):
-            smallest = least[np.searchsorted(whole, k)]
+        keys, seconds = _read(sent, "keys", "<u8"), _read(sent, "seconds", "<u8")
+        low, span = _read(sent, "low", "<i8"), _read(sent, "range", "<i8")
+        all_low = _joined(low, "<i8")
+        order, first = _grouped(_joined(keys, "<u8"), _joined(seconds, "<u8"))
+        if not len(first):
+            return _table([], "chunk long, keys binary, seconds binary, low binary")
+        least = np.empty(len(order), np.int64)
+        least[order] = np.repeat(
+            np.minimum.reduceat(all_low[order], first), np.diff(np.append(first, len(order)))
+        )
+        rows, at = [], 0
+        for number, k, s, a, r in zip(sent.column("chunk").to_pylist(), keys, seconds, low, span):
+            smallest = least[at:at + len(k)]
+            at += len(k)
             later = smallest < a + r
             if later.any():
-                rows.append((number, k[later].tobytes(), smallest[later].tobytes()))
-        return _table(rows, "chunk long, keys binary, low binary")
+                rows.append((number, k[later].tobytes(), s[later].tobytes(), smallest[later].tobytes()))
+        return _table(rows, "chunk long, keys binary, seconds binary, low binary")
 
     out_schema = T.StructType([dealt.schema["row"], T.StructField("result", _RESULT)])
     out_arrow = to_arrow_type(_RESULT)
 
     def remove(chunk: pa.Table, repeated: pa.Table) -> pa.Table:
-        keys, low = _joined(_read(repeated, "keys", "<u8"), "<u8"), _joined(_read(repeated, "low", "<i8"), "<i8")
-        order = np.argsort(keys)
-        keys, low = keys[order], low[order]
+        keys, seconds, low = (
+            _joined(_read(repeated, c, k), k) for c, k in (("keys", "<u8"), ("seconds", "<u8"), ("low", "<i8"))
+        )
+        order = np.lexsort((seconds, keys))
+        keys, seconds, low = keys[order], seconds[order], low[order]
+        same = np.diff(np.append(_starts(keys), len(keys))).max(initial=0)  # windows of one first hash
         known, out = WordHashes(), []
         ids = chunk.column("id").fill_null(NO_ID).to_pylist()
         for text, doc_id in zip(chunk.column("text").to_pylist(), ids):
             words = blank_words(text)
             spans: list[tuple[int, int]] = []
             if len(keys) and len(words) >= window:
-                hashes = rolling(known.of(words), window)
-                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                spans = intervals(np.flatnonzero((keys[at] == hashes) & (low[at] < doc_id)), window)
+                own = known.of(words)
+                hashes = rolling(own, window)
+                first = np.searchsorted(keys, hashes)
+                gone = np.zeros(len(hashes), bool)
+                other = None
+                for more in range(same):
+                    at = np.minimum(first + more, len(keys) - 1)
+                    met = (keys[at] == hashes) & (low[at] < doc_id)
+                    if met.any():
+                        other = rolling(own, window, SECOND) if other is None else other
+                        gone |= met & (seconds[at] == other)
+                spans = intervals(np.flatnonzero(gone), window)
             kept, end = [], 0
             for a, b in spans:
                 kept += words[end:a]
@@ -236,7 +269,7 @@ def remove_repeats(
     )
     windows = by_chunk.cogroup(codes.groupBy("chunk")).applyInArrow(send_windows, _WINDOWS)
     answers = windows.groupBy("bucket").applyInArrow(
-        repeated_windows, "chunk long, keys binary, low binary"
+        repeated_windows, "chunk long, keys binary, seconds binary, low binary"
     )
     return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(remove, out_schema)
 
