@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import permutations
 
-from affinia.llm import clustering, filter_audit, sharding
+from affinia.llm import clustering, decontaminate, filter_audit, sharding, substrings, warc
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -136,3 +136,66 @@ summed AS MATERIALIZED (
   FROM counted GROUP BY ALL)
 SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM summed
 """
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _plain_words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_PLAIN}')"
+
+
+DECONTAMINATION = f"""
+WITH item_words AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item, {_plain_words("text")} AS w FROM benchmark),
+item_windows AS MATERIALIZED (
+  SELECT DISTINCT item, least(len(w), {decontaminate.WINDOW}) AS n,
+         array_to_string(w[i:i + {decontaminate.WINDOW} - 1], ' ') AS part
+  FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - {decontaminate.WINDOW} + 1) + 1)) AS i
+        FROM item_words WHERE len(w) > 0)),
+doc_words AS MATERIALIZED (SELECT doc_id, {_plain_words("text")} AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS part
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, sizes)),
+hits AS MATERIALIZED (
+  SELECT doc_id, i, n, item FROM doc_windows JOIN item_windows USING (n, part)),
+covered AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY 1),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+WARC = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS size FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS lowest FROM payloads)
+SELECT page_id, size AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN size >= {warc.LEAST} AND page_id > lowest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= {warc.LEAST} AND page_id > lowest THEN lowest END AS refers_to
+FROM firsts
+"""
+
+SUBSTRINGS = rf"""
+WITH docs AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i:i + {substrings.WINDOW} - 1], ' ') AS part
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {substrings.WINDOW} + 2)) AS i FROM docs)),
+earliest AS (SELECT part, min(doc_id) AS lowest FROM windows GROUP BY 1),
+gone AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {substrings.WINDOW})) AS pos
+  FROM windows JOIN earliest USING (part) WHERE lowest < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM docs)
+  ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

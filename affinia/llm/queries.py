@@ -134,6 +134,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_decontamination": oracles.DECONTAMINATION,
+    "op5_warc": oracles.WARC,
+    "op8_substring_dedup": oracles.SUBSTRINGS,
     "op11_centroid_clustering": oracles.CLUSTERING,
     "op12_feistel_shards": oracles.SHARDING,
     "op13_filter_audit": oracles.FILTER_AUDIT,

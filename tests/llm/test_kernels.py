@@ -273,6 +273,72 @@ MIT = "\n".join([
 ])
 
 
+HEADERS = {
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the University of Somewhere nor the names of its
+   contributors may be used to endorse or promote products derived from this
+   software without specific prior written permission.
+""",
+    "LGPL-2.1-or-later": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+""",
+    "AGPL-3.0-or-later": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU Affero General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+""",
+    "GPL-2.0-or-later": """   This program is free software; you can redistribute it and/or modify
+   it under the terms of the GNU General Public License as published by
+   the Free Software Foundation; either version 2 of the License, or
+   (at your option) any later version.
+""",
+    "GPL-2.0-only": """This program is free software; you can redistribute it and/or modify it
+under the terms of the GNU General Public License version 2 as published by the
+Free Software Foundation.
+""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty.  In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+""",
+    "BSL-1.0": """//          Copyright Jo Doe 2014.
+// Distributed under the Boost Software License, Version 1.0.
+//    (See accompanying file LICENSE_1_0.txt)
+""",
+    "EPL-2.0": """ * This program and the accompanying materials are made
+ * available under the terms of the Eclipse Public License 2.0
+ * which is available at https://www.eclipse.org/legal/epl-2.0/
+""",
+    "CC0-1.0": "To the extent possible under law, the author(s) have waived all copyright and related or neighboring rights to this software.\n",
+}
+
+
+@pytest.mark.parametrize("licence", sorted(HEADERS))
+def test_headers_as_they_stand_in_files(licence):
+    names = [n for _, n in licenses.sentences("int x;\n" + HEADERS[licence] + "\nint y;")]
+    assert licenses.licences(names) == [licence], names
+
+
+def test_spdx_lines():
+    found = lambda text: licenses.licences([n for _, n in licenses.sentences(text)])
+    assert found("// SPDX-License-Identifier: MIT\n") == ["MIT"]
+    assert found("/* SPDX-License-Identifier: (GPL-2.0+ OR BSD-3-Clause) */") == ["BSD-3-Clause", "GPL-2.0-or-later"]
+    assert found("# SPDX-License-Identifier: LGPL-2.1-only WITH x") == ["LGPL-2.1-only"]
+    assert found("SPDX-License-Identifier: Unknown-1.0") == [] == found("SPDX-License-Identifier:")
+
+
 def test_licence_rules():
     names = lambda text: [n for _, n in licenses.sentences(text)]
     found = lambda text: licenses.licences(names(text))
@@ -281,10 +347,13 @@ def test_licence_rules():
     assert found("RELEASED under the MIT license.\nx\nLicensed under CC BY-NC 4.0.") == ["CC-BY-NC-4.0", "MIT"]
     assert found("Licensed under the Apache") == found("") == []
     # Order counts: the same sentences the other way round are no licence.
+    named = {"cc0-waiver": "To the extent possible under law, Jo Doe has waived all copyright and related or neighboring rights to This Work"}
+    named |= {r: f"SPDX-License-Identifier: {r[5:]}" for _, rule in licenses.RULES for r in rule if r.startswith("spdx-")}
+    named |= licenses.SENTENCES
     for licence, rule in licenses.RULES:
-        text = ".\n".join(licenses.SENTENCES[r] for r in rule) + "."
+        text = ".\n".join(named[r] for r in rule) + "."
         assert licence in found(text), (licence, names(text))
         if len(rule) > 1:
-            assert licence not in found(".\n".join(licenses.SENTENCES[r] for r in reversed(rule)) + ".")
+            assert licence not in found(".\n".join(named[r] for r in reversed(rule)) + ".")
     assert "BSD-2-Clause" not in found(".\n".join(licenses.SENTENCES[r] for r in licenses.RULES[7][1]) + ".")
     assert re.fullmatch("[a-z0-9 ]+", licenses.normalised("A  b-C\n(d)!"))

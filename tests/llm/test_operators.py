@@ -113,6 +113,31 @@ def test_repeated_passages(docs, rows, chunk, bucket):
     assert bag(mine.collect()) == bag(brute.without_repeats(rows))
 
 
+def test_windows_whose_first_hash_collides(docs, rows, monkeypatch):
+    """With one value for every window the second hash alone tells them apart."""
+    real = substrings.rolling
+
+    def rolling(hashes, window=13, base=substrings.BASE):
+        found = real(hashes, window, base)
+        return found if base == substrings.SECOND else found & np.uint64(3)
+
+    monkeypatch.setattr(substrings, "rolling", rolling)
+    short = [(d, t) for d, t in rows if t is None or len(t) < 2000]
+    spark = docs.sparkSession
+    table = spark.createDataFrame(short, "doc_id long, text string")
+    mine = substrings.remove_repeats(table, ["doc_id"], chunk_chars=2000).select(
+        "row.doc_id", "result.n_words", "result.n_removed", F.sha2("result.kept", 256)
+    )
+    assert bag(mine.collect()) == bag(brute.without_repeats(short))
+
+
+def test_chunks_are_bounded_in_rows_and_grow_with_the_buckets():
+    assert substrings.sizes(0, 1_000_000, 4 << 20, 1 << 20)[0] >= 15
+    few, bits = substrings.sizes(30 << 30, 15_000_000, 4 << 20, 1 << 20)
+    windows = (30 << 30) / 6
+    assert windows / few / (1 << bits) > 150  # codes of a chunk for a bucket
+
+
 def test_personal_data(docs, rows):
     found = pii.find(docs, ["doc_id"], sample=3000).select("row.doc_id", "result.base", "result.redacted").collect()
     expected = [(d, [f"{k}:{a}:{b}" for k, a, b in brute.personal(t)]) for d, t in rows]
