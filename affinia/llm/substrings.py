@@ -85,13 +85,20 @@ def rolling(hashes: np.ndarray, window: int = WINDOW, base: np.uint64 = BASE) ->
     return total
 
 
-def _windows(chunk: pa.Table, window: int, bases: tuple = (BASE,)) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashes of all windows of a chunk's documents for each base, and the doc_id of each window."""
+def second(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """32 bits of a rolling hash of another base."""
+    return (rolling(hashes, window, SECOND) >> np.uint64(32)).astype(np.uint32)
+
+
+def _windows(chunk: pa.Table, window: int, both: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all windows of a chunk's documents, their second hashes where asked for, and the
+    doc_id of each window."""
     known = WordHashes()
     texts = [known.of(blank_words(t)) for t in chunk.column("text").to_pylist()]
-    found = [[rolling(t, window, base) for t in texts] for base in bases]
+    found = [rolling(t, window) for t in texts]
+    seconds = [second(t, window) for t in texts] if both else []
     ids = chunk.column("id").fill_null(NO_ID).to_numpy()
-    return [_joined(f, np.uint64) for f in found], np.repeat(ids, [len(x) for x in found[0]])
+    return _joined(found, np.uint64), _joined(seconds, np.uint32), np.repeat(ids, [len(x) for x in found])
 
 
 def _starts(sorted_keys: np.ndarray) -> np.ndarray:
@@ -156,7 +163,7 @@ def remove_repeats(
     )
 
     def send_codes(chunk: pa.Table) -> pa.Table:
-        (hashes,), _ = _windows(chunk, window)
+        hashes, _, _ = _windows(chunk, window)
         codes = np.sort(hashes >> code_shift)
         first = _starts(codes)
         twice = np.diff(np.append(first, len(codes))) > 1
@@ -187,7 +194,7 @@ def remove_repeats(
             codes.astype(np.uint64) | np.uint64(bucket << 32)
             for bucket, codes in zip(repeated.column("bucket").to_pylist(), _read(repeated, "codes", "<u4"))
         ]))
-        (hashes, seconds), ids = _windows(chunk, window, (BASE, SECOND))
+        hashes, seconds, ids = _windows(chunk, window, both=True)
         codes = hashes >> code_shift
         at = np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)
         hit = wanted[at] == codes
@@ -204,10 +211,10 @@ def remove_repeats(
         ], _WINDOWS)
 
     def repeated_windows(sent: pa.Table) -> pa.Table:
-        keys, seconds = _read(sent, "keys", "<u8"), _read(sent, "seconds", "<u8")
+        keys, seconds = _read(sent, "keys", "<u8"), _read(sent, "seconds", "<u4")
         low, span = _read(sent, "low", "<i8"), _read(sent, "range", "<i8")
         all_low = _joined(low, "<i8")
-        order, first = _grouped(_joined(keys, "<u8"), _joined(seconds, "<u8"))
+        order, first = _grouped(_joined(keys, "<u8"), _joined(seconds, "<u4"))
         if not len(first):
             return _table([], "chunk long, keys binary, seconds binary, low binary")
         least = np.empty(len(order), np.int64)
@@ -228,7 +235,7 @@ def remove_repeats(
 
     def remove(chunk: pa.Table, repeated: pa.Table) -> pa.Table:
         keys, seconds, low = (
-            _joined(_read(repeated, c, k), k) for c, k in (("keys", "<u8"), ("seconds", "<u8"), ("low", "<i8"))
+            _joined(_read(repeated, c, k), k) for c, k in (("keys", "<u8"), ("seconds", "<u4"), ("low", "<i8"))
         )
         order = np.lexsort((seconds, keys))
         keys, seconds, low = keys[order], seconds[order], low[order]
@@ -248,7 +255,7 @@ def remove_repeats(
                     at = np.minimum(first + more, len(keys) - 1)
                     met = (keys[at] == hashes) & (low[at] < doc_id)
                     if met.any():
-                        other = rolling(own, window, SECOND) if other is None else other
+                        other = second(own, window) if other is None else other
                         gone |= met & (seconds[at] == other)
                 spans = intervals(np.flatnonzero(gone), window)
             kept, end = [], 0
