@@ -2,11 +2,12 @@ from collections import Counter
 from itertools import combinations
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
-from affinia.operators import itemsets, pairing, vertical
+from affinia.operators import grid, itemsets, pairing, vertical
 
 
 def make_rows(spark, baskets):
@@ -189,3 +190,36 @@ def test_no_rows_and_null_rows_of_the_items_side(spark):
     rows = [("x", "a"), ("x", "a"), ("y", "a"), (None, "a"), ("y", None), ("x", "b")]
     made = vertical.vertical_itemsets(spark.createDataFrame(rows, "basket string, item string"), 2)
     assert found(made) == {("a",): 2}
+
+
+@pytest.mark.parametrize("at_once", [3, 40, 1 << 20])
+@pytest.mark.parametrize("hot", [3, 100])
+def test_pairs_counted_in_a_grid_are_those_of_the_join(spark, hot, at_once, monkeypatch):
+    """Many pairs a row: every row goes to a fixed number of block pairs, and no pair is shuffled."""
+    rng = random.Random(hot)
+    rows = [
+        (g, f"e{e}", f"f{f}", 2 + g) for g in (0, 1) for e in range(40)
+        for f in {rng.randrange(25) for _ in range(1 + e % 9)}
+    ]
+    df = spark.createDataFrame(rows, "g int, e string, f string, need long")
+    joined = pairing.sharing_pairs(df, "e", "f", ["g"], hot=hot).collect()
+    counted = []
+    monkeypatch.setattr(pairing, "FEW_PAIRS", 0)
+    monkeypatch.setattr(pairing, "MANY", 0)
+    monkeypatch.setattr(grid, "AT_ONCE", at_once)
+    kept = grid.shared_counts
+    monkeypatch.setattr(grid, "shared_counts", lambda *a: counted.append(a) or kept(*a))
+    made = pairing.sharing_pairs(df, "e", "f", ["g"], hot=hot)
+    assert joined and len(counted) == 1
+    assert set(made.columns) == {"g", "e1", "e2", "need", "shared"}
+    key = lambda r: (r["g"], r["e1"], r["e2"], r["need"], r["shared"])
+    assert sorted(map(key, made.collect())) == sorted(map(key, joined))
+
+
+@pytest.mark.parametrize("values", [
+    [1, -2, 127], [300, 5], [1 << 20, 0], [1 << 40, 7], [1.0, 5.0], [0.5, 3.0], [float("nan"), 1e300], [],
+])
+def test_packed_values_come_back(values):
+    kind = np.float64 if any(isinstance(v, float) for v in values) else np.int64
+    packed = grid.narrow(np.array(values, kind))
+    assert np.array_equal(grid.widened([packed, packed], kind), np.array(values * 2, kind), equal_nan=kind is np.float64)
