@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from affinia.operators import neighbours, recommend
+from affinia.operators import grid, neighbours, recommend
 from affinia.plans.numbering import numbered
 
 
@@ -234,3 +234,19 @@ def test_repeated_training_pairs_are_reduced(spark):
 
     # The repeats are equal to the neighbours' ratings or lower, and do not touch the active user.
     assert abs(predicted(once) - predicted(once + [(2, 1, 5.0), (3, 2, 1.0)])) < 1e-12
+
+
+def test_ratings_are_copied_a_fixed_number_of_times(spark):
+    """More pairs make larger groups, worked on slice by slice, and not more copies of each rating."""
+    rng = random.Random(9)
+    rows = {(u, rng.randrange(30)): 1.0 * rng.randint(1, 5) for u in range(1500) for _ in range(8)}
+    ratings = spark.createDataFrame([(u, b, r) for (u, b), r in rows.items()], "e long, f long, x double")
+    targets = spark.createDataFrame([(u, u % 30) for u in range(0, 1500, 2)], "e long, f long")
+    fine = neighbours.Neighbourhood(ratings, targets, pair_rows=500)
+    assert fine.blocks == max(grid.SIDE, math.isqrt(4 * spark.sparkContext.defaultParallelism))
+    found, whole = (
+        {(r["e"], r["f"]): (r["above"], r["weight"]) for r in around.sums().collect()}
+        for around in (fine, neighbours.Neighbourhood(ratings, targets))
+    )
+    assert found and found.keys() == whole.keys()
+    assert all(found[k] == pytest.approx(whole[k]) for k in found)
