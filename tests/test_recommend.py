@@ -250,3 +250,14 @@ def test_ratings_are_copied_a_fixed_number_of_times(spark):
     )
     assert found and found.keys() == whole.keys()
     assert all(found[k] == pytest.approx(whole[k]) for k in found)
+
+
+def test_a_rating_goes_once_to_a_pair_of_blocks(spark):
+    """Both ways round are one group: a packed rating is copied once for each block, sorted ids as differences."""
+    rows = spark.createDataFrame([(0, e % 3, e, e % 7, 1.0) for e in range(300)], "role int, own int, e long, f long, x double")
+    copies = grid.copied(grid.packed(rows.coalesce(1)), 3).select("block", "role").collect()
+    assert sorted(tuple(r) for r in copies) == [(0, 0), (1, 0), (1, 1), (2, 0), (2, 1), (4, 0), (5, 0), (5, 1), (8, 0)]
+    assert len(grid.ascending(np.arange(10**6, 10**6 + 50_000))) < 1000
+    for values in ([5, 5, 9, 1 << 40], [-(1 << 62), 1 << 62], [7], []):
+        blob = grid.ascending(np.array(values, np.int64))
+        assert grid._unpacked([blob, blob], np.dtype(np.int64), True).tolist() == values * 2
