@@ -1,8 +1,10 @@
 from collections import Counter
 from itertools import combinations
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
@@ -223,3 +225,35 @@ def test_packed_values_come_back(values):
     kind = np.float64 if any(isinstance(v, float) for v in values) else np.int64
     packed = grid.narrow(np.array(values, kind))
     assert np.array_equal(grid.widened([packed, packed], kind), np.array(values * 2, kind), equal_nan=kind is np.float64)
+
+
+def test_a_block_pair_holds_its_rows_narrow(monkeypatch):
+    """Reading and counting a group takes few bytes a row beside a slice."""
+    monkeypatch.setattr(grid, "AT_ONCE", 1 << 12)
+    rng, n = np.random.default_rng(6), 400_000
+    sides = [np.unique(rng.integers(low, low + n // 40, n) * n + rng.integers(0, n // 4, n)) for low in (0, n // 40)]
+    names = ["block", "role", "e", "f", "x"]
+    batches = [
+        pa.RecordBatch.from_arrays([
+            pa.array([1]), pa.array([role]), *[pa.array([blob], pa.binary()) for blob in (
+                grid.ascending(keys // n), grid.narrow(keys % n), grid.narrow(np.full(len(keys), 2.0)))],
+        ], names=names)
+        for role, keys in enumerate(sides)
+    ]
+    tracemalloc.start()
+    sides = grid.read(iter(batches), 2, True)
+    found = sum(b.num_rows for b in grid._counted(sides, False, lambda shared, *_: shared >= 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and peak < 60 * n
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3], [0, 1 << 33, 1 << 40], [-(1 << 50), 7, 70_000]])
+def test_codes_of_any_width_come_back_from_a_group(ids):
+    e, f = np.array(ids), np.array(ids[::-1])
+    blobs = [pa.array([b], pa.binary()) for b in (grid.ascending(e), grid.narrow(f), grid.narrow(f / 2))]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), *blobs], names=["block", "role", "e", "f", "x"])
+    for narrowly in (False, True):
+        (found, none) = grid.read([batch], 2, narrowly)
+        assert found[0].tolist() == ids and found[1].tolist() == ids[::-1] and found[2].tolist() == (f / 2).tolist()
+        assert not any(map(len, none))
