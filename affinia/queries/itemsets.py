@@ -14,28 +14,38 @@ MIN_ROWS = 4
 ITEM_SUPPORT = 3
 
 
+def _named(df: DataFrame) -> DataFrame:
+    """Items as names, in their order: on the way numbers are narrower."""
+    return df.withColumn("items", F.array_sort(F.col("items").cast("array<string>")))
+
+
 def _joined(df: DataFrame) -> DataFrame:
     return df.withColumn("items", F.concat_ws(",", "items")).withColumnRenamed("items", "itemset")
 
 
-def _by_order(spark: SparkSession, sf: str) -> DataFrame:
-    return itemsets.baskets(views.basket_pairs(spark, sf))
+def _by_order(spark: SparkSession, sf: str, min_rows: int | None = None) -> DataFrame:
+    return itemsets.baskets(views.order_suppliers(spark, sf), min_rows=min_rows)
 
 
 def _chunk():
-    return F.pmod(F.col("basket").cast("long"), F.lit(CHUNKS))
+    return F.pmod(F.col("basket"), F.lit(CHUNKS))
+
+
+def _mined(rows: DataFrame) -> DataFrame:
+    """Two-phase itemset mining."""
+    mined = itemsets.son_frequent(rows, SUPPORT, CHUNKS, _chunk())
+    return _joined(_named(mined).orderBy("size", "items"))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Two-phase itemset mining."""
-    mined = itemsets.son_frequent(_by_order(spark, sf), SUPPORT, CHUNKS, _chunk())
-    return _joined(mined)
+    return _mined(_by_order(spark, sf))
 
 
 def _apriori(spark: SparkSession, sf: str) -> DataFrame:
     frequent = itemsets.frequent_itemsets(_by_order(spark, sf), PAIR_SUPPORT, max_size=2)
     pairs = frequent.where("size = 2")
-    return _joined(itemsets.apriori_candidates(pairs, 3).select("items"))
+    return _joined(_named(itemsets.apriori_candidates(pairs, 3).select("items")))
 
 
 def _by_supplier(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,19 +64,15 @@ QUERIES = {
         views.basket_pairs(spark, sf), min_rows=MIN_ROWS
     ),
     "apriori_candidates": _apriori,
-    "son_candidates": lambda spark, sf: _joined(
+    "son_candidates": lambda spark, sf: _joined(_named(
         itemsets.son_candidates(_by_order(spark, sf), SUPPORT, CHUNKS, _chunk())
-    ),
-    "son_frequent": lambda spark, sf: _joined(
-        itemsets.son_frequent(_by_order(spark, sf), SUPPORT, CHUNKS, _chunk())
-    ),
-    "son_frequent_active": lambda spark, sf: _joined(itemsets.son_frequent(
-        itemsets.baskets(views.basket_pairs(spark, sf), min_rows=MIN_ROWS), SUPPORT, CHUNKS, _chunk()
     )),
+    "son_frequent": lambda spark, sf: _mined(_by_order(spark, sf)),
+    "son_frequent_active": lambda spark, sf: _mined(_by_order(spark, sf, MIN_ROWS)),
     "frequent_itemsets_by_item": _by_supplier,
-    "frequent_itemsets": lambda spark, sf: _joined(
+    "frequent_itemsets": lambda spark, sf: _joined(_named(
         itemsets.frequent_itemsets(_by_order(spark, sf), SUPPORT)
-    ),
+    )),
 }
 
 _BASKETS = """

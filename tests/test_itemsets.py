@@ -10,6 +10,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
 from affinia.operators import grid, itemsets, pairing, vertical
+from affinia.plans.staging import stage
 
 
 def make_rows(spark, baskets):
@@ -63,6 +64,49 @@ def test_small_and_uneven_chunks_give_the_same(spark, baskets, chunks, chunk):
     assert found(mined) == brute_force(baskets, 6)
 
 
+@pytest.mark.parametrize("hot", [6, 2000])
+@pytest.mark.parametrize("largest", [1, 2, 3, 4])
+def test_only_candidates_are_counted(spark, baskets, largest, hot, monkeypatch):
+    everything = brute_force(baskets, 1)
+    top = [items for items in sorted(everything) if len(items) == largest][::7]
+    chosen = {part for items in top for n in range(1, largest + 1) for part in combinations(items, n)}
+    candidates = spark.createDataFrame(
+        [(len(items), list(items)) for items in chosen], "size int, items array<string>"
+    )
+    lengths, kept = [], itemsets._extended
+    monkeypatch.setattr(itemsets, "_extended", lambda *a: lengths.append(a[2]) or kept(*a))
+    counted = found(itemsets.count_candidates(make_rows(spark, baskets), candidates, 3, hot))
+    assert counted == {items: n for items, n in everything.items() if n >= 3 and items in chosen}
+    assert lengths == list(range(3, largest + 1))  # no longer sets are listed
+
+
+def test_both_phases_read_the_baskets_staged_once(spark, baskets, monkeypatch):
+    names, kept = [], itemsets.stage
+    monkeypatch.setattr(itemsets, "stage", lambda df, name: names.append(name) or kept(df, name))
+    itemsets.son_frequent(make_rows(spark, baskets), 6, 2)
+    assert names.count("baskets") == 1
+    assert names.count("occurrences") >= 2  # those of pairs too, which a join reads twice
+
+
+def test_joins_of_rows_with_themselves_shuffle_them_once(spark, baskets):
+    rows = stage(make_rows(spark, baskets).withColumn("need", F.lit(2)), "rows")
+    pairs = stage(rows.where("item > 'i5'").select(F.array(F.lit("i1"), "item").alias("items")), "pairs")
+    occurrences = stage(itemsets._pair_occurrences(rows, pairs, [], None), "occurrences")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for joined in (
+            itemsets.baskets(rows, min_rows=2),
+            itemsets._pair_occurrences(rows, pairs, [], None),
+            itemsets._extended(occurrences, [], 3),
+        ):
+            assert "ReusedExchange" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_small_chunks_are_joined():
     joined = itemsets._large_chunks({0: 1, 1: 100, 2: 100}, 5)
     assert joined[0] in (joined[1], joined[2]) and joined[1] != joined[2]
