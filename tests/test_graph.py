@@ -6,8 +6,9 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from affinia.operators import communities, graph
+from affinia.operators import communities, graph, pairing
 from affinia.plans.staging import stage
+from affinia.queries.graph import edges as registered_edges
 
 SEVEN = [("A", "B"), ("A", "C"), ("B", "C"), ("B", "D"), ("D", "E"), ("D", "F"), ("D", "G"),
          ("E", "F"), ("F", "G")]
@@ -187,6 +188,33 @@ def test_edges_need_common_items_not_rows(spark, hot):
         graph.coactivity_edges(pairs, 0)
 
 
+def test_edges_by_number_are_those_by_name(spark, tmp_path):
+    held = {9: range(20), 10: range(8), 100: range(13, 30), 7: range(12, 19), 8: [0, 1, 2, 3, 4, 5, 5]}
+    lines = [(customer, part) for customer, parts in held.items() for part in parts]
+    spark.createDataFrame([(customer, customer) for customer in [*held, None]], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([*lines, (9, None), (None, 3)], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    expected = {("10", "9", 8), ("100", "9", 7), ("7", "9", 7)}
+    assert {tuple(r) for r in registered_edges(spark, str(tmp_path)).collect()} == expected
+
+
+def test_holders_of_items_are_counted_once(spark, monkeypatch):
+    rows = [(f"u{n}", f"i{(n * 7 + k) % 40}") for n in range(60) for k in range(9)]
+    pairs = spark.createDataFrame(rows, "user_id string, business_id string")
+    monkeypatch.setattr(pairing, "FEW_PAIRS", 10)
+    monkeypatch.setattr(pairing, "MANY", 0)
+    sizes, meetings, size_of, in_grid = [], [], pairing.pairs_of, pairing._met_in_grid
+    monkeypatch.setattr(pairing, "pairs_of", lambda df: sizes.append(df) or size_of(df))
+    monkeypatch.setattr(pairing, "_met_in_grid", lambda *a: meetings.append(a[1]) or in_grid(*a))
+    found = graph.coactivity_edges(pairs, 5).collect()
+    held = {}
+    for user, item in rows:
+        held.setdefault(user, set()).add(item)
+    expected = {(u, v, len(held[u] & held[v])) for u in held for v in held if u < v}
+    assert {tuple(r) for r in found} == {e for e in expected if e[2] >= 5}
+    assert len(sizes) == 1
+    assert meetings[0] is sizes[0] and meetings[0].staged_at  # read, not counted, by the grid
+
+
 def tree_removals(edges):
     """(u, v, betweenness) in order, and the best partition, of a tree: an edge carries a x b paths."""
     near = {}
