@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinia.operators import communities, graph, pairing
+from affinia.plans import staging, views
 from affinia.plans.staging import stage
 from affinia.queries.graph import edges as registered_edges
 
@@ -197,6 +198,33 @@ def test_edges_by_number_are_those_by_name(spark, tmp_path):
     assert {tuple(r) for r in registered_edges(spark, str(tmp_path)).collect()} == expected
 
 
+def test_order_lines_are_dealt_to_tasks_of_few_rows(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(o, o % 7) for o in range(50)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(o, (o * p) % 11) for o in range(50) for p in range(4)]
+    spark.createDataFrame([*lines, (None, 3)], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert views.order_line_tasks(spark, str(tmp_path)) is None
+    monkeypatch.setattr(staging, "TASK_ROWS", 2)
+    assert views.order_line_tasks(spark, str(tmp_path)) == 101
+    dealt = views.customer_parts(spark, str(tmp_path))
+    assert "hashpartitioning(l_orderkey#" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, dealt.collect())) == sorted((o % 7, p) for o, p in lines)
+    tasks, made = [], graph.coactivity_edges
+    monkeypatch.setattr(graph, "coactivity_edges", lambda *a, **b: tasks.append(b["tasks"]) or made(*a, **b))
+    assert {tuple(r) for r in registered_edges(spark, str(tmp_path)).collect()} == {
+        (str(u), str(v), n) for u in range(7) for v in range(u + 1, 7)
+        if (n := len({p for o, p in lines if o % 7 == u} & {p for o, p in lines if o % 7 == v})) >= 7
+    }
+    assert tasks == [101]
+
+
+def test_edges_are_made_once_for_both_directions(spark):
+    edges = frame(spark, [("a", "b"), ("b", "c")])
+    both = graph.both_directions(edges)
+    assert "Union" not in both._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, both.collect())) == [("a", "b"), ("b", "a"), ("b", "c"), ("c", "b")]
+    assert {tuple(r) for r in graph.degrees(edges).collect()} == {("a", 1), ("b", 2), ("c", 1)}
+
+
 def test_holders_of_items_are_counted_once(spark, monkeypatch):
     rows = [(f"u{n}", f"i{(n * 7 + k) % 40}") for n in range(60) for k in range(9)]
     pairs = spark.createDataFrame(rows, "user_id string, business_id string")

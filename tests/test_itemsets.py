@@ -129,6 +129,26 @@ def test_candidates_need_every_subset(spark):
     assert sorted(tuple(r["items"]) for r in made) == [("a", "b", "c"), ("a", "b", "d")]
 
 
+def test_active_rows_are_shuffled_once_and_to_the_tasks_named(spark):
+    """Counted, made distinct and joined where one shuffle by basket puts them."""
+    rows = [(b, i) for b in range(20) for i in range(b % 5) for _ in range(1 + b % 2)] + [(None, 1), (3, None)] * 9
+    pairs = stage(spark.createDataFrame(rows, "basket long, item long"), "pairs")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for name, value in zip(before, ("false", "-1")):
+        spark.conf.set(name, value)
+    try:
+        kept = itemsets.baskets(pairs, min_rows=3, tasks=7)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ReusedExchange") == 1 and plan.count("Exchange hashpartitioning") == 2  # one of them names the reused one
+        assert kept.rdd.getNumPartitions() == 7
+        found = kept.collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = {(b, i) for b in range(20) for i in range(b % 5) if b % 5 * (1 + b % 2) > 3}
+    assert len(found) == len(expected) and {tuple(r) for r in found} == expected
+
+
 def test_raw_rows_decide_about_activity(spark):
     pairs = spark.createDataFrame(
         [("u", "x"), ("u", "x"), ("u", "y"), ("v", "x"), ("v", "y")], "basket string, item string"
