@@ -291,6 +291,31 @@ def test_packed_values_come_back(values):
     assert np.array_equal(grid.widened([packed, packed], kind), np.array(values * 2, kind), equal_nan=kind is np.float64)
 
 
+@pytest.mark.parametrize("mostly", [0, 0.75, 2])
+@pytest.mark.parametrize("wide", [0, 1 << 40])
+def test_whole_numbers_are_their_own_codes_in_a_grid(spark, wide, mostly, monkeypatch):
+    """No rows are joined with numbers, nor filtered unless many can meet nobody; wide numbers are numbered."""
+    rng = random.Random(5)
+    rows = [(e * 3 - 60, f - 9 + wide * (f == 7), 3) for e in range(40) for f in {rng.randrange(25) for _ in range(1 + e % 9)}]
+    rows += [(e, 1000 + e, 3) for e in range(200, 230)] + [(None, 4, 3), (None, 5, 3), (None, 6, 3), (3, None, 3)]
+    df = spark.createDataFrame(rows, "e int, f long, need long")
+    joined = pairing.sharing_pairs(df.where("e IS NOT NULL AND f IS NOT NULL"), "e", "f").collect()
+    numbers, counted, number, kept = [], [], pairing.numbered, grid.shared_counts
+    monkeypatch.setattr(pairing, "FEW_PAIRS", 0)
+    monkeypatch.setattr(pairing, "MANY", 0)
+    monkeypatch.setattr(pairing, "MOSTLY", mostly)
+    monkeypatch.setattr(pairing, "numbered", lambda *a: numbers.append(a) or number(*a))
+    monkeypatch.setattr(grid, "shared_counts", lambda *a: counted.append(a[0]) or kept(*a))
+    made = pairing.sharing_pairs(df, "e", "f")
+    assert [f.dataType.simpleString() for f in made.select("e1", "e2", "need", "shared").schema] == ["int", "int", "bigint", "bigint"]
+    assert joined and sorted(map(str, made.collect())) == sorted(map(str, made.sparkSession.createDataFrame(joined).select(
+        F.col("e1").cast("int"), F.col("e2").cast("int"), "need", "shared").collect()))
+    assert len(numbers) == (2 if wide else 0)
+    if not wide:
+        plan = counted[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LeftSemi") == (2 if mostly > 1 else 0)
+
+
 def test_a_block_pair_holds_its_rows_narrow(monkeypatch):
     """Reading and counting a group takes few bytes a row beside a slice."""
     monkeypatch.setattr(grid, "AT_ONCE", 1 << 12)
