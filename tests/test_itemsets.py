@@ -291,6 +291,13 @@ def test_packed_values_come_back(values):
     assert np.array_equal(grid.widened([packed, packed], kind), np.array(values * 2, kind), equal_nan=kind is np.float64)
 
 
+def test_packed_values_take_the_bytes_they_vary_in():
+    """Sorted inside entities, features of a million take their 20 bits and less, not three bytes and more."""
+    rng = np.random.default_rng(3)
+    values = np.sort(rng.integers(0, 1_200_000, (1_600, 40)), axis=1).ravel()
+    assert len(grid.narrow(values)) < 2.4 * len(values)
+
+
 @pytest.mark.parametrize("mostly", [0, 0.75, 2])
 @pytest.mark.parametrize("wide", [0, 1 << 40])
 def test_whole_numbers_are_their_own_codes_in_a_grid(spark, wide, mostly, monkeypatch):
