@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -261,3 +262,42 @@ def test_a_rating_goes_once_to_a_pair_of_blocks(spark):
     for values in ([5, 5, 9, 1 << 40], [-(1 << 62), 1 << 62], [7], []):
         blob = grid.ascending(np.array(values, np.int64))
         assert grid._unpacked([blob, blob], np.dtype(np.int64), True).tolist() == values * 2
+
+
+def test_a_group_holds_its_ratings_narrowly():
+    """Whole numbers stay in the narrowest type, one role at a time is unpacked, and results are as wide ones'."""
+    rng = np.random.default_rng(2)
+    users, n = np.sort(rng.integers(0, 20_000, 400_000)), 400_000
+    keys = np.unique(users * 3_000 + rng.integers(0, 3_000, n))
+    e, f, x = keys // 3_000, keys % 3_000, rng.integers(1, 6, len(keys)).astype(float)
+
+    def packed(e, f, x):
+        return [grid.ascending(e)], [grid.narrow(f)], [grid.narrow(x)]
+
+    ratings, targets = packed(e, f, x), packed(e[::200], f[::200], x[::200] * 0)
+    tracemalloc.start()
+    group = neighbours._Group(ratings, ratings, targets, 100_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(keys)
+    assert group.raters[1].dtype == np.int8 and group.active[2].dtype == np.int8
+    sums = pa.concat_tables(neighbours._sums_of(group))
+    large = packed(e + (1 << 40), f + (1 << 40), x), packed(e[::200] + (1 << 40), f[::200] + (1 << 40), x[::200] * 0)
+    wide = pa.concat_tables(neighbours._sums_of(neighbours._Group(large[0], large[0], large[1], 100_000)))
+    assert sums.num_rows > 1900
+    assert sums.column("above").to_pylist() == pytest.approx(wide.column("above").to_pylist())
+    assert (wide.column("e").to_numpy() - (1 << 40) == sums.column("e").to_numpy()).all()
+
+
+@pytest.mark.parametrize("side", ["user", "item"])
+def test_blocks_worked_on_in_parts_give_the_same(spark, side, monkeypatch):
+    train, test = neighbour_data(2, True)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 20)  # 910 ratings in 5 blocks or more
+    made = recommend.cf_predict(frame(spark, train), frame(spark, test, False), side)
+    found = {(r["user_id"], r["business_id"]): r["prediction"] for r in made.collect()}
+    assert found == pytest.approx(expected_predictions(train, test, side))
+    rows = [recommend.pair_similarity(frame(spark, train), frame(spark, test, False), side)]
+    monkeypatch.undo()
+    rows.append(recommend.pair_similarity(frame(spark, train), frame(spark, test, False), side))
+    split, whole = ({(r.id_1, r.id_2): (r.n_common, r.w) for r in df.collect()} for df in rows)
+    assert split.keys() == whole.keys() and all(split[k] == pytest.approx(whole[k]) for k in whole)
