@@ -39,10 +39,13 @@ from pyspark.sql import functions as F
 
 from affinia.llm.common import stage
 from affinia.llm.wordarrays import bytes_of, hashes, words_of
+from affinia.plans.staging import WIDE_ROWS, at_once
 
 FILTERS = "ABCDE"
 SHARD_BYTES = 8 << 20
 BUCKET_WORDS = 1 << 19
+#: Shards, and vocabularies of shards, that one Arrow batch holds at most.
+SHARDS_AT_ONCE, VOCABULARIES_AT_ONCE = 4, 16
 #: Fixed limits of the filters.
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 200, 50, 2
 
@@ -212,12 +215,13 @@ def document_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     documents, and its matrix: document i has the words ``words[starts[i]:starts[i + 1]]`` with the
     ``counts`` at the same places. Numbers are dense from 0, by bucket and then by word.
     """
-    own = stage(_shards(docs), "shards")
+    own = stage(_shards(docs), "shards", WIDE_ROWS)
     entries = own.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = _bucketed(own, entries // BUCKET_WORDS + 1)
-    found = stage(buckets.groupBy("bucket").applyInArrow(
-        _numbered, "bucket long, shard long, first long, ranks array<int>, words binary, size long"
-    ), "numbers")
+    with at_once(docs.sparkSession, VOCABULARIES_AT_ONCE):
+        found = stage(buckets.groupBy("bucket").applyInArrow(
+            _numbered, "bucket long, shard long, first long, ranks array<int>, words binary, size long"
+        ), "numbers", WIDE_ROWS)
     sizes = found.where("shard IS NULL").select("bucket", "size")
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = stage(sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")), "bases")
@@ -279,7 +283,8 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     shards, _ = document_terms(docs)
     same = ["text_key", "doc_id", "part", "failed"]
-    facts = stage(_documents(shards).groupBy(*same).agg(F.count("*").alias("n")), "facts")
+    with at_once(docs.sparkSession, SHARDS_AT_ONCE):
+        facts = stage(_documents(shards).groupBy(*same).agg(F.count("*").alias("n")), "facts")
     first = facts.groupBy(F.col("text_key").alias("key")).agg(F.min("doc_id").alias("least"))
     is_first = (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("least"))
     copy_bit = F.when(F.col("key").isNull(), F.lit(1 << FILTERS.index("E"))).otherwise(F.lit(0))
