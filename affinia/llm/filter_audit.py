@@ -44,8 +44,8 @@ from affinia.plans.staging import WIDE_ROWS, at_once
 FILTERS = "ABCDE"
 SHARD_BYTES = 8 << 20
 BUCKET_WORDS = 1 << 19
-#: Shards, and vocabularies of shards, that one Arrow batch holds at most.
-SHARDS_AT_ONCE, VOCABULARIES_AT_ONCE = 4, 16
+#: Documents, shards, and vocabularies of shards, that one Arrow batch holds at most.
+DOCUMENTS_AT_ONCE, SHARDS_AT_ONCE, VOCABULARIES_AT_ONCE = 256, 4, 16
 #: Fixed limits of the filters.
 LEAST_WORDS, DISTINCT_PERCENT, UPPER_PERCENT = 200, 50, 2
 
@@ -215,7 +215,8 @@ def document_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     documents, and its matrix: document i has the words ``words[starts[i]:starts[i + 1]]`` with the
     ``counts`` at the same places. Numbers are dense from 0, by bucket and then by word.
     """
-    own = stage(_shards(docs), "shards", WIDE_ROWS)
+    with at_once(docs.sparkSession, DOCUMENTS_AT_ONCE):
+        own = stage(_shards(docs), "shards", WIDE_ROWS)
     entries = own.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = _bucketed(own, entries // BUCKET_WORDS + 1)
     with at_once(docs.sparkSession, VOCABULARIES_AT_ONCE):
